@@ -4,17 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, VariantType
+from pyspark.sql.types import (
+    BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType, MapType, StringType, StructField,
+    StructType, TimestampType, VariantType,
+)
+
+_TYPES = {
+    "INT": IntegerType(), "BIGINT": LongType(), "DOUBLE": DoubleType(), "STRING": StringType(),
+    "BOOLEAN": BooleanType(), "DATE": DateType(), "TIMESTAMP": TimestampType(), "VARIANT": VariantType(),
+    "MONEY": DecimalType(12, 2), "PARAMETERS": MapType(StringType(), StringType()),
+    "ANSWER": StructType([StructField("error", StringType()), StructField("status_code", LongType())]),
+}
+
+
+def _table(columns: str) -> StructType:
+    """A schema from ``name TYPE`` pairs; unlike a DDL string it needs no running session."""
+    pairs = (column.split() for column in columns.split(","))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 # Marketplace-1 search results, one row per listed product.
-SEARCH_LISTING = StructType.fromDDL(
+SEARCH_LISTING = _table(
     "page_number INT, category_label STRING, node STRING, position INT, asin STRING, title STRING,"
     " link STRING, rating DOUBLE, reviews BIGINT, bought_last_month STRING, price_raw STRING,"
     " currency STRING, extracted_price DOUBLE, delivery STRING, is_sponsored BOOLEAN, extracted_at STRING"
 )
 
 # Marketplace-1 offers, one row per offer and delivery option, or one status row per key.
-OFFERS = StructType.fromDDL(
+OFFERS = _table(
     "asin STRING, title STRING, url STRING, review_count BIGINT, seller STRING, price DOUBLE,"
     " currency STRING, price_shipping DOUBLE, condition STRING, rating_count BIGINT, seller_id STRING,"
     " seller_link STRING, delivery STRING, delivery_type STRING, delivery_date STRING,"
@@ -23,7 +39,7 @@ OFFERS = StructType.fromDDL(
 )
 
 # Marketplace-1 product details; nested parts are VARIANT in memory and JSON text on disk.
-DETAILS = StructType.fromDDL(
+DETAILS = _table(
     "asin STRING, category_label STRING, extracted_at STRING, node STRING, title STRING, brand STRING,"
     " url STRING, page_type STRING, stock STRING, price DOUBLE, price_upper DOUBLE,"
     " price_initial DOUBLE, price_shipping DOUBLE, price_buybox DOUBLE, price_sns DOUBLE,"
@@ -39,36 +55,36 @@ DETAILS = StructType.fromDDL(
 )
 
 # Marketplace-2 category listing.
-LINK_LISTING = StructType.fromDDL(
+LINK_LISTING = _table(
     "title STRING, price_raw STRING, link STRING, page_number INT, extracted_at STRING, category_label STRING"
 )
 
 # Marketplace-2 lookup answers.
-LOOKUP = StructType.fromDDL(
+LOOKUP = _table(
     "input_value STRING, category_label STRING, extracted_at STRING,"
-    " payload STRUCT<error: STRING, status_code: BIGINT>"
+    " payload ANSWER"
 )
 
-SILVER_OFFERS = StructType.fromDDL(
+SILVER_OFFERS = _table(
     "asin STRING, extracted_at TIMESTAMP, snapshot_date DATE, seller_name STRING, seller_key STRING,"
-    " seller_id STRING, condition STRING, offer_position INT, total_price DECIMAL(12,2),"
+    " seller_id STRING, condition STRING, offer_position INT, total_price MONEY,"
     " category_label STRING, node STRING"
 )
 
-SILVER_LISTING = StructType.fromDDL(
+SILVER_LISTING = _table(
     "asin STRING, category_label STRING, node STRING, title STRING, link STRING, position INT,"
     " page_number INT, rating DOUBLE, reviews BIGINT, extracted_price DOUBLE, last_seen_at TIMESTAMP,"
     " is_active BOOLEAN"
 )
 
-GOLD_SNAPSHOT = StructType.fromDDL(
-    "snapshot_date DATE, asin STRING, category_label STRING, pdp_total_price DECIMAL(12,2),"
+GOLD_SNAPSHOT = _table(
+    "snapshot_date DATE, asin STRING, category_label STRING, pdp_total_price MONEY,"
     " buybox_seller_name STRING, buybox_seller_key STRING, buybox_is_amazon BOOLEAN,"
-    " buybox_stock STRING, seller_id_count BIGINT, min_total_price DECIMAL(12,2)"
+    " buybox_stock STRING, seller_id_count BIGINT, min_total_price MONEY"
 )
 
-REGISTRY = StructType.fromDDL(
-    "name STRING, type STRING, enabled BOOLEAN, parameters MAP<STRING, STRING>"
+REGISTRY = _table(
+    "name STRING, type STRING, enabled BOOLEAN, parameters PARAMETERS"
 )
 
 

@@ -31,6 +31,7 @@ def local_session(app: str, cpus: int = 8, **conf: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
     for key, value in conf.items():
