@@ -25,13 +25,9 @@ def attribute(tag: Column, name: str) -> Column:
 
     Quoted values may hold anything but their quote; unquoted ones end at white space or ``>``.
     """
-    lead = rf"(?is)^<[a-z][^>]*?\s{name}\s*=\s*"
-    value = F.coalesce(
-        F.nullif(F.regexp_extract(tag, lead + '"([^"]*)"', 1), F.lit("")),
-        F.nullif(F.regexp_extract(tag, lead + "'([^']*)'", 1), F.lit("")),
-        F.regexp_extract(tag, lead + r"""([^\s"'>]+)""", 1),
-    )
-    return decoded_entities(value)
+    pattern = rf"""(?is)^<[a-z][^>]*?\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    raw = F.regexp_extract(tag, pattern, 1)
+    return decoded_entities(F.regexp_replace(raw, r"""^["']|["']$""", ""))
 
 
 def inner_text(markup: Column) -> Column:
@@ -47,16 +43,20 @@ def anchors(page: Column, prefix: str) -> Column:
     tags = F.regexp_extract_all(
         visible(page), F.lit(r"(?is)<a\s[^>]*>.*?(?=</a\s*>|<a\s|$)"), 0
     )
-
-    def link(tag: Column) -> Column:
-        href = attribute(tag, "href")
-        text = inner_text(F.regexp_replace(tag, r"(?s)^<[^>]*>", ""))
-        return F.struct(
-            href.alias("href"),
-            F.when(text != "", text).otherwise(slug_title(href)).alias("title"),
-        )
-
-    return F.filter(F.transform(tags, link), lambda a: a["href"].startswith(prefix))
+    links = F.transform(
+        tags,
+        lambda t: F.struct(
+            attribute(t, "href").alias("href"),
+            inner_text(F.regexp_replace(t, r"(?s)^<[^>]*>", "")).alias("text"),
+        ),
+    )
+    return F.transform(
+        F.filter(links, lambda a: a["href"].startswith(prefix)),
+        lambda a: F.struct(
+            a["href"].alias("href"),
+            F.when(a["text"] != "", a["text"]).otherwise(slug_title(a["href"])).alias("title"),
+        ),
+    )
 
 
 def ld_json_blocks(page: Column, keep_commented: bool = False) -> Column:
@@ -73,19 +73,23 @@ def ld_json_blocks(page: Column, keep_commented: bool = False) -> Column:
     return F.transform(scripts, lambda t: F.regexp_extract(t, r"(?is)^<[^>]*>(.*)</script\s*>$", 1))
 
 
-def _first_tag(tags: Column, attr: str, value: str) -> Column:
-    return F.get(F.filter(tags, lambda t: attribute(t, attr) == value), F.lit(0))
+def meta_tags(shown: Column) -> Column:
+    """``array<struct<itemprop, property, content>>`` of the ``meta`` tags of a visible page."""
+    tags = F.regexp_extract_all(shown, F.lit(r"(?is)<meta\s[^>]*>"), 0)
+    return F.transform(
+        tags, lambda t: F.struct(*[attribute(t, a).alias(a) for a in ("itemprop", "property", "content")])
+    )
 
 
-def meta_content(page: Column, attr: str, value: str) -> Column:
-    """``content`` of the first ``meta`` tag whose ``attr`` is ``value``, NULL where blank or absent."""
-    tags = F.regexp_extract_all(visible(page), F.lit(r"(?is)<meta\s[^>]*>"), 0)
-    return F.nullif(attribute(_first_tag(tags, attr, value), "content"), F.lit(""))
+def meta_content(metas: Column, attr: str, value: str) -> Column:
+    """``content`` of the first tag whose ``attr`` is ``value``, NULL where blank or absent."""
+    first = F.get(F.filter(metas, lambda m: m[attr] == value), F.lit(0))
+    return F.nullif(first["content"], F.lit(""))
 
 
-def price_span(page: Column) -> Column:
-    """Text of the first ``span`` whose ``data-automation-id`` mentions a price."""
-    spans = F.regexp_extract_all(visible(page), F.lit(r"(?is)<span\s[^>]*>.*?</span\s*>"), 0)
+def price_span(shown: Column) -> Column:
+    """Text of the first ``span`` of a visible page whose ``data-automation-id`` mentions a price."""
+    spans = F.regexp_extract_all(shown, F.lit(r"(?is)<span\s[^>]*>.*?</span\s*>"), 0)
     first = F.get(
         F.filter(spans, lambda t: F.contains(attribute(t, "data-automation-id"), F.lit("price"))),
         F.lit(0),
@@ -98,9 +102,3 @@ def loose_price(page: Column) -> Column:
     return F.nullif(
         F.regexp_extract(page, r'"price"\s*:\s*"?([0-9]+[.,][0-9]+)"?', 1), F.lit("")
     )
-
-
-def page_title(page: Column) -> Column:
-    """Text of the ``title`` element, NULL where blank or absent."""
-    return F.nullif(inner_text(F.regexp_extract(page, r"(?is)<title[^>]*>(.*?)</title\s*>", 1)), F.lit(""))
-

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfscope.functions.bind import bind
+
 WHITESPACE = " \t\r\n\f\x0b\x1c\x1d\x1e\x1f\x85\xa0"
 
 # Named character references met in shop pages (the ampersand is handled last).
@@ -28,31 +30,30 @@ def _code_point(code: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
 
-def decoded_entities(c: Column) -> Column:
-    """Character references replaced by their characters; text without ``&`` is left alone at once."""
-    out = c
+def _numeric_references(text: Column, pattern: str, base: int) -> Column:
+    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(f"&#{pattern};"), 1))
+    lead = "&#[xX]0*" if base == 16 else "&#0*"
+
+    def replaced(acc: Column, code: Column) -> Column:
+        digits = F.ltrim(code, F.lit("0"))
+        char = _code_point(F.conv(digits, base, 10).cast("bigint"))
+        return F.regexp_replace(acc, F.concat(F.lit(lead), digits, F.lit(";")), char)
+
+    return F.aggregate(codes, text, replaced)
+
+
+def _decoded(text: Column) -> Column:
+    out = text
     for name, char in NAMED_ENTITIES.items():
         out = F.replace(out, F.lit(name), F.lit(char))
-    decimal = F.array_distinct(F.regexp_extract_all(out, F.lit("&#([0-9]{1,6});"), 1))
-    out = F.aggregate(
-        decimal,
-        out,
-        lambda acc, code: F.replace(
-            acc, F.concat(F.lit("&#"), code, F.lit(";")), _code_point(code.cast("bigint"))
-        ),
-    )
-    hexadecimal = F.array_distinct(F.regexp_extract_all(out, F.lit("&#[xX]([0-9a-fA-F]{1,5});"), 1))
-    out = F.aggregate(
-        hexadecimal,
-        out,
-        lambda acc, code: F.regexp_replace(
-            acc,
-            F.concat(F.lit("&#[xX]"), code, F.lit(";")),
-            _code_point(F.conv(code, 16, 10).cast("bigint")),
-        ),
-    )
-    out = F.replace(out, F.lit("&amp;"), F.lit("&"))
-    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+    out = bind(out, lambda x: _numeric_references(x, "([0-9]{1,6})", 10))
+    out = bind(out, lambda x: _numeric_references(x, "[xX]([0-9a-fA-F]{1,5})", 16))
+    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+
+
+def decoded_entities(c: Column) -> Column:
+    """Character references replaced by their characters; text without ``&`` is left alone at once."""
+    return bind(c, lambda x: F.when(F.contains(x, F.lit("&")), _decoded(x)).otherwise(x))
 
 
 def slug_title(url: Column) -> Column:

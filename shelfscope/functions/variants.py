@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfscope.functions.bind import bind
+
 
 def parsed(text: Column) -> Column:
     """JSON text as VARIANT, NULL where it is not JSON."""
@@ -24,18 +26,14 @@ def present(v: Column) -> Column:
     return v.isNotNull()
 
 
-def json_null(v: Column) -> Column:
-    return F.coalesce(F.is_variant_null(v), F.lit(False))
-
-
 def elements(v: Column) -> Column:
     """The elements of a JSON array, NULL for anything else."""
-    return F.when(~json_null(v), get(v, "$", "array<variant>"))
+    return get(v, "$", "array<variant>")
 
 
 def members(v: Column) -> Column:
     """The members of a JSON object, NULL for anything else."""
-    return F.when(~json_null(v), get(v, "$", "map<string,variant>"))
+    return get(v, "$", "map<string,variant>")
 
 
 # JSON spellings that count as "nothing there".
@@ -43,33 +41,53 @@ EMPTY_JSON = r'^(null|false|""|\[\]|\{\}|-?0(\.0*)?([eE][+-]?[0-9]+)?)$'
 
 
 def falsy(v: Column) -> Column:
-    """Missing, null, false, zero, empty text, empty array or empty object."""
-    return v.isNull() | F.to_json(v).rlike(EMPTY_JSON)
+    """Missing, null, false, zero, empty text, empty array or empty object.
+
+    Objects are told by their members; only other values are printed to be compared.
+    """
+
+    def empty(x: Column) -> Column:
+        return F.when(F.coalesce(F.is_variant_null(x), F.lit(True)), F.lit(True)).otherwise(
+            F.coalesce(F.size(F.map_keys(members(x))) == 0, F.to_json(x).rlike(EMPTY_JSON))
+        )
+
+    return bind(v, empty)
 
 
 def first_truthy(*candidates: Column) -> Column:
     """The first candidate variant that is not falsy."""
-    return F.coalesce(*[F.when(~falsy(v), v) for v in candidates])
+    return F.coalesce(*[bind(c, lambda v: F.when(~falsy(v), v)) for c in candidates])
 
 
 def text_or(v: Column, fallback: Column) -> Column:
     """Text of ``v`` unless it is falsy."""
-    return F.coalesce(F.when(~falsy(v), get(v, "$", "string")), fallback)
+    return F.coalesce(bind(v, lambda x: F.when(~falsy(x), get(x, "$", "string"))), fallback)
+
+
+def _parsed_text(v: Column) -> Column:
+    # A variant string prints as quoted JSON; anything else is no text.
+    text = F.when(
+        F.to_json(v).startswith('"'), F.btrim(get(v, "$", "string"), F.lit(" \t\r\n\f\x0b"))
+    )
+    return bind(text, lambda t: F.when(t.rlike(r"(?s)^[\[{].*[\]}]$"), F.try_parse_json(t)))
 
 
 def jsonish(v: Column) -> Column:
     """A JSON document that arrived as text is parsed; everything else passes unchanged."""
-    text = F.btrim(F.when(F.schema_of_variant(v) == "STRING", get(v, "$", "string")), F.lit(" \t\r\n\f\x0b"))
-    return F.coalesce(F.when(text.rlike(r"(?s)^[\[{].*[\]}]$"), F.try_parse_json(text)), v)
+    return bind(v, lambda x: F.coalesce(_parsed_text(x), x))
 
 
 def joined_lines(v: Column) -> Column:
     """An array's non-empty texts, one per line; a scalar as its text."""
-    items = F.filter(elements(v), lambda x: ~falsy(x))
-    return F.when(
-        elements(v).isNotNull(),
-        F.array_join(F.transform(items, lambda x: get(x, "$", "string")), "\n"),
-    ).otherwise(get(v, "$", "string"))
+
+    def lines(items: Column) -> Column:
+        kept = F.filter(items, lambda x: ~falsy(x))
+        return F.array_join(F.transform(kept, lambda x: get(x, "$", "string")), "\n")
+
+    return bind(
+        v,
+        lambda x: F.coalesce(bind(elements(x), lambda items: F.when(items.isNotNull(), lines(items))), get(x, "$", "string")),
+    )
 
 
 def first_item(v: Column) -> Column:

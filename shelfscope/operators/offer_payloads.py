@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfscope.functions.bind import bind
 from shelfscope.functions.variants import elements, falsy, get, members, parsed, present, text_or
 from shelfscope.operators.tags import Tag, tag
 from shelfscope.schemas import OFFERS, conform
@@ -24,40 +25,62 @@ _OFFER_FIELDS = {
 }
 
 
-def _no_elements() -> Column:
-    return F.filter(F.array(F.parse_json(F.lit("null"))), lambda _: F.lit(False))
+_OBJECT = "map<string,variant>"
+_OFFER = "struct<" + ",".join(f"{k}:{t}" for k, t in _OFFER_FIELDS.items()) + ",delivery_options:variant>"
 
 
-def _sequence(v: Column) -> Column:
-    """Elements to walk over: an array's; none for an empty object or text; NULL where it cannot be walked."""
-    return F.when(elements(v).isNotNull(), elements(v)).when(
-        F.to_json(v).isin("{}", '""'), _no_elements()
+def _sequence(v: Column, element: str) -> Column:
+    """An array's elements, each NULL where it is not an object; none for an empty object or text.
+
+    NULL where ``v`` cannot be walked over at all. One typed read per array is much cheaper than a
+    path lookup per field.
+    """
+    none = F.array().cast(f"array<{element}>")
+    return bind(
+        v,
+        lambda x: F.coalesce(get(x, "$", f"array<{element}>"), F.when(F.to_json(x).isin("{}", '""'), none)),
     )
 
 
-def _options(offer: Column) -> Column:
+def _options(raw: Column) -> Column:
     """Delivery options; a missing list stands for one unknown option, an empty one for none."""
-    raw = get(offer, "$.delivery_options")
-    return F.when(~present(raw), F.array(F.parse_json(F.lit("null")))).otherwise(_sequence(raw))
+    unknown = F.array(F.lit(None).cast(_OBJECT))
+    return F.when(present(raw), _sequence(raw, _OBJECT)).otherwise(unknown)
 
 
-def _broken_option(d: Column) -> Column:
-    date = get(d, "$.date")
-    return ~falsy(d) & (members(d).isNull() | (present(date) & members(date).isNull()))
+def _offer(o: Column) -> Column:
+    return F.struct(
+        o.isNull().alias("broken"),
+        *[o[name].alias(name) for name in _OFFER_FIELDS],
+        o["delivery_options"].alias("raw_options"),
+        _options(o["delivery_options"]).alias("options"),
+    )
 
 
 def _broken_offer(o: Column) -> Column:
-    options = _options(o)
-    return members(o).isNull() | options.isNull() | F.coalesce(F.exists(options, _broken_option), F.lit(False))
+    """No object, options that cannot be walked, a date that is no object, or a stray value as option."""
+
+    def odd_date(d: Column) -> Column:
+        return bind(F.try_element_at(d, F.lit("date")), lambda x: present(x) & members(x).isNull())
+
+    stray = F.exists(o["options"], lambda d: d.isNull()) & F.exists(
+        elements(o["raw_options"]), lambda x: members(x).isNull() & ~falsy(x)
+    )
+    return (
+        o["broken"]
+        | o["options"].isNull()
+        | F.coalesce(F.exists(o["options"], odd_date), F.lit(False))
+        | F.coalesce(stray, F.lit(False))
+    )
 
 
 def _line(o: Column, offer_index: Column, d: Column, option_index: Column) -> Column:
     return F.struct(
-        *[get(o, f"$.{name}", type_).alias(name) for name, type_ in _OFFER_FIELDS.items()],
-        get(d, "$.type", "string").alias("delivery_type"),
-        get(d, "$.date.by", "string").alias("delivery_date"),
+        *[o[name].alias(name) for name in _OFFER_FIELDS],
+        get(F.try_element_at(d, F.lit("type")), "$", "string").alias("delivery_type"),
+        get(F.try_element_at(d, F.lit("date")), "$.by", "string").alias("delivery_date"),
         (offer_index + 1).alias("offer_position"),
-        F.when(~falsy(d), option_index + 1).alias("delivery_option_position"),
+        F.when(F.cardinality(d) > 0, option_index + 1).alias("delivery_option_position"),
     )
 
 
@@ -75,7 +98,9 @@ def flatten_offers(
     payload and the rows come from one generator, so every key yields at least one row without a
     join or a shuffle.
     """
-    v, content, pricing = F.col("v"), F.col("content"), F.col("pricing")
+    v, content, fields = F.col("v"), F.col("content"), F.col("fields")
+    failed = v.isNull() | (present(get(v, "$.error")) & ~present(get(v, "$.results")))
+    tags = ["category_label", "node_label", "extracted_at"]
     answered = (
         payloads.select(
             F.col(key).alias("input_key"),
@@ -84,22 +109,23 @@ def flatten_offers(
             tag(extracted_at).alias("extracted_at"),
             parsed(F.col(payload)).alias("v"),
         )
-        .withColumn("content", get(v, "$.results[0].content"))
+        .select(
+            "input_key",
+            *tags,
+            failed.alias("failed"),
+            F.when(v.isNull(), F.lit("unreadable payload")).otherwise(get(v, "$.error", "string")).alias("message"),
+            get(v, "$.results[0].content").alias("content"),
+        )
         .withColumns(
             {
-                "failed": v.isNull() | (present(get(v, "$.error")) & ~present(get(v, "$.results"))),
-                "message": F.when(v.isNull(), F.lit("unreadable payload")).otherwise(get(v, "$.error", "string")),
-                "pricing": get(content, "$.pricing"),
-                "empty": falsy(content),
+                "fields": F.cardinality(members(content)),
+                "offers": F.transform(_sequence(get(content, "$.pricing"), _OFFER), _offer),
             }
         )
-        .withColumn("offers", F.when(present(pricing), _sequence(pricing)).otherwise(_no_elements()))
         .withColumn(
             "malformed",
-            ~F.col("empty")
-            & (
-                members(content).isNull()
-                | F.col("offers").isNull()
+            F.when(fields.isNull(), ~falsy(content)).otherwise(
+                (F.col("offers").isNull() & present(get(content, "$.pricing")))
                 | F.coalesce(F.exists("offers", _broken_offer), F.lit(False))
             ),
         )
@@ -110,7 +136,7 @@ def flatten_offers(
                 F.flatten(
                     F.transform(
                         "offers",
-                        lambda o, i: F.transform(_options(o), lambda d, j: _line(o, i, d, j)),
+                        lambda o, i: F.transform(o["options"], lambda d, j: _line(o, i, d, j)),
                     )
                 ),
             ),
@@ -122,26 +148,22 @@ def flatten_offers(
             .otherwise("no_offers"),
         )
     )
-    rows = answered.select(
-        "*", F.explode_outer(F.when(F.col("pricing_status") == "offer", F.col("lines"))).alias("line")
-    )
     known = F.col("pricing_status") != "error"
     asin = get(content, "$.asin")
-    return conform(
-        rows.select(
-            F.when(F.col("pricing_status") == "offer", get(asin, "$", "string"))
-            .when(known, text_or(asin, F.col("input_key")))
-            .otherwise(F.col("input_key"))
-            .alias("asin"),
-            F.when(known, get(content, "$.title", "string")).alias("title"),
-            F.when(known, get(content, "$.url", "string")).alias("url"),
-            F.when(known, get(content, "$.review_count", "bigint")).alias("review_count"),
-            "line.*",
-            "category_label",
-            "node_label",
-            "extracted_at",
-            "pricing_status",
-            F.when(F.col("failed"), F.col("message")).when(F.col("malformed"), F.lit(MALFORMED)).alias("error_message"),
-        ),
-        OFFERS,
+    # Product fields are read before the rows are multiplied, so the payload itself is not copied.
+    rows = answered.select(
+        F.when(F.col("pricing_status") == "offer", get(asin, "$", "string"))
+        .when(known, text_or(asin, F.col("input_key")))
+        .otherwise(F.col("input_key"))
+        .alias("asin"),
+        F.when(known, get(content, "$.title", "string")).alias("title"),
+        F.when(known, get(content, "$.url", "string")).alias("url"),
+        F.when(known, get(content, "$.review_count", "bigint")).alias("review_count"),
+        "category_label",
+        "node_label",
+        "extracted_at",
+        "pricing_status",
+        F.when(F.col("failed"), F.col("message")).when(F.col("malformed"), F.lit(MALFORMED)).alias("error_message"),
+        F.when(F.col("pricing_status") == "offer", F.col("lines")).alias("lines"),
     )
+    return conform(rows.withColumn("line", F.explode_outer("lines")).select("*", "line.*"), OFFERS)

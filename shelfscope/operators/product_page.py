@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfscope.functions.html import ld_json_blocks, loose_price, meta_content, price_span
+from shelfscope.functions.html import ld_json_blocks, loose_price, meta_content, meta_tags, price_span, visible
 from shelfscope.functions.text import slug_title
 
 # Offer fields that may hold the price, in order of trust. The currency code is not one.
@@ -74,31 +74,30 @@ def product_pages(pages: DataFrame, url: str = "url", html: str = "html", lenien
     Script data comes first, then meta tags and the visible price, then the words of the link. With
     ``lenient`` commented scripts and bare price values in the source count too.
     """
-    page = F.col(html)
-    facts = pages.select(
-        F.col(url).alias("link"),
-        page.alias("html"),
-        ld_json_facts()(ld_json_blocks(page, keep_commented=lenient)).alias("ld"),
-    )
-    page = F.col("html")
-    price = [
-        F.nullif(F.col("ld.price"), F.lit("")),
-        meta_content(page, "itemprop", "price"),
-        price_span(page),
-        meta_content(page, "property", "product:price:amount"),
-    ]
-    if lenient:
-        price.append(loose_price(page))
-    return (
-        facts.select(
-            F.coalesce(
-                F.nullif(F.col("ld.title"), F.lit("")),
-                meta_content(page, "itemprop", "name"),
-                meta_content(page, "property", "og:title"),
-                slug_title(F.col("link")),
-            ).alias("title"),
-            F.coalesce(*price).alias("price_raw"),
+    page, metas = F.col("html"), F.col("metas")
+    facts = (
+        pages.select(F.col(url).alias("link"), F.col(html).alias("html"))
+        .select(
             "link",
+            ld_json_facts()(ld_json_blocks(page, keep_commented=lenient)).alias("ld"),
+            visible(page).alias("shown"),
+            (loose_price(page) if lenient else F.lit(None).cast("string")).alias("loose"),
         )
-        .where("title <> ''")
+        .withColumn("metas", meta_tags(F.col("shown")))
     )
+    return facts.select(
+        F.coalesce(
+            F.nullif(F.col("ld.title"), F.lit("")),
+            meta_content(metas, "itemprop", "name"),
+            meta_content(metas, "property", "og:title"),
+            slug_title(F.col("link")),
+        ).alias("title"),
+        F.coalesce(
+            F.nullif(F.col("ld.price"), F.lit("")),
+            meta_content(metas, "itemprop", "price"),
+            price_span(F.col("shown")),
+            meta_content(metas, "property", "product:price:amount"),
+            F.col("loose"),
+        ).alias("price_raw"),
+        "link",
+    ).where("title <> ''")
