@@ -25,11 +25,11 @@ def _my_offers(offers: DataFrame, seller: str, as_of: AsOf, days: int, asin: str
     return rows if asin is None else rows.where(P.asin_is(asin))
 
 
-def _against_mine(rows: DataFrame, mine: DataFrame, seller: str) -> DataFrame:
-    """Snapshot rows with the seller's price, gap and headroom; rows without an offer are kept."""
+def _against_mine(rows: DataFrame, seller: str) -> DataFrame:
+    """Snapshot rows that carry ``my_price``, with price gap and headroom."""
     key = P.seller_key(rows, HOLDER)
     my_price, price = F.col("my_price"), F.col("pdp_total_price")
-    return rows.join(mine, ["asin", "snapshot_date"], "left").select(
+    return rows.select(
         "asin",
         "snapshot_date",
         HOLDER,
@@ -55,8 +55,11 @@ def product_performance(
     """Snapshots against the seller's own lowest price at each extraction of the day.
 
     For one product the newest 1000 rows are returned; without a product all of them, for all.
-    A day with several extractions gives several rows.
+    A day with several extractions gives several rows, a day without any gives one. The two cases
+    are joined apart: an inner join can be split where one product and day has very many
+    extractions, a left join from the snapshots cannot.
     """
+    day = ["asin", "snapshot_date"]
     mine = (
         _my_offers(offers, seller, as_of, days, asin)
         .groupBy("asin", "extracted_at")
@@ -64,11 +67,13 @@ def product_performance(
         .select("asin", F.to_date("extracted_at").alias("snapshot_date"), "my_price")
     )
     rows = recent(gold, as_of, days)
+    rows = rows if asin is None else rows.where(P.asin_is(asin))
+    no_price = F.lit(None).cast(mine.schema["my_price"].dataType)
+    unoffered = rows.join(mine.select(*day).distinct(), day, "left_anti").withColumn("my_price", no_price)
+    out = _against_mine(mine.join(rows, day).unionByName(unoffered), seller)
     if asin is None:
-        return _against_mine(rows, mine, seller)
-    out = _against_mine(rows.where(P.asin_is(asin)), mine, seller).orderBy(
-        F.col("snapshot_date").desc_nulls_last(), F.col("my_price").asc_nulls_last()
-    )
+        return out
+    out = out.orderBy(F.col("snapshot_date").desc_nulls_last(), F.col("my_price").asc_nulls_last())
     return out.limit(limit) if limit else out
 
 
@@ -97,7 +102,7 @@ def newest_performance(
         .groupBy("asin", F.to_date("extracted_at").alias("snapshot_date"))
         .agg(F.min("total_price").alias("my_price"))
     )
-    return _against_mine(newest, mine, seller)
+    return _against_mine(newest.join(mine, ["asin", "snapshot_date"], "left"), seller)
 
 
 def diagnose(performance: DataFrame) -> DataFrame:

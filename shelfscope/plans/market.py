@@ -181,7 +181,7 @@ def new_sellers(offers: DataFrame, seller: str, as_of: AsOf = None, days: int =
     today = as_of_date(as_of, offers, "extracted_at")
     key = _seller(offers)
     firsts = offers.groupBy("asin", key.alias("seller_key")).agg(F.min("snapshot_date").alias("first_seen"))
-    mine = offers.where(P.same_seller(key, seller)).select("asin")
+    mine = offers.where(P.same_seller(key, seller)).select("asin").distinct()
     return (
         firsts.where(P.other_seller(F.col("seller_key"), seller))
         .where(F.col("first_seen") >= F.date_sub(today, days))
