@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import payloads as L
 from checks.adapters import table
-from shelfscope.functions.html import anchors
+from shelfscope.functions.html import anchors, visible
 from shelfscope.operators.dedupe import first_seen
 from shelfscope.operators.detail_payloads import flatten_details
 from shelfscope.operators.links import list_links, page_links, until_first_failure
@@ -74,7 +74,7 @@ def ing4_crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gen9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "pages")
-        .select("page_id", F.posexplode(anchors(F.col("html"), "/")).alias("position", "a"))
+        .select("page_id", F.posexplode(anchors(visible(F.col("html")), "/")).alias("position", "a"))
         .select("page_id", "position", "a.href", "a.title")
     )
 

@@ -20,31 +20,46 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, _HIDDEN, "")
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Decoded value of an attribute in a start tag, '' where it is absent or blank.
+def raw_attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute in a start tag as written, '' where it is absent or blank.
 
     Quoted values may hold anything but their quote; unquoted ones end at white space or ``>``.
     """
     pattern = rf"""(?is)^<[a-z][^>]*?\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    raw = F.regexp_extract(tag, pattern, 1)
-    return decoded_entities(F.regexp_replace(raw, r"""^["']|["']$""", ""))
+    return F.regexp_replace(F.regexp_extract(tag, pattern, 1), r"""^["']|["']$""", "")
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute with its character references decoded."""
+    return decoded_entities(raw_attribute(tag, name))
+
+
+def raw_text(markup: Column) -> Column:
+    """Text of a fragment as written: each piece between tags trimmed, then run together."""
+    return stripped(F.regexp_replace(markup, r"(?s)\s*<[^>]*>\s*", ""))
 
 
 def inner_text(markup: Column) -> Column:
-    """Text of a fragment: each piece between tags trimmed, then run together."""
-    return decoded_entities(stripped(F.regexp_replace(markup, r"(?s)\s*<[^>]*>\s*", "")))
+    return decoded_entities(raw_text(markup))
 
 
-def anchors(page: Column, prefix: str) -> Column:
-    """``array<struct<href, title>>`` of the links below ``prefix``, in page order.
+def _anchor_tags(shown: Column) -> Column:
+    return F.regexp_extract_all(shown, F.lit(r"(?is)<a\s[^>]*>.*?(?=</a\s*>|<a\s|$)"), 0)
+
+
+def link_targets(shown: Column, prefix: str) -> Column:
+    """Distinct link targets below ``prefix`` on a visible page."""
+    targets = F.transform(_anchor_tags(shown), lambda t: attribute(t, "href"))
+    return F.array_distinct(F.filter(targets, lambda h: h.startswith(prefix)))
+
+
+def anchors(shown: Column, prefix: str) -> Column:
+    """``array<struct<href, title>>`` of the links below ``prefix`` on a visible page, in page order.
 
     The title is the anchor text, or the words of the link's last part where there is no text.
     """
-    tags = F.regexp_extract_all(
-        visible(page), F.lit(r"(?is)<a\s[^>]*>.*?(?=</a\s*>|<a\s|$)"), 0
-    )
     links = F.transform(
-        tags,
+        _anchor_tags(shown),
         lambda t: F.struct(
             attribute(t, "href").alias("href"),
             inner_text(F.regexp_replace(t, r"(?s)^<[^>]*>", "")).alias("text"),
@@ -68,7 +83,7 @@ def ld_json_blocks(page: Column, keep_commented: bool = False) -> Column:
     tokens = F.regexp_extract_all(page, F.lit(pattern), 0)
     scripts = F.filter(
         tokens,
-        lambda t: t.rlike(r"(?i)^<script\b") & (attribute(t, "type") == "application/ld+json"),
+        lambda t: t.rlike(r"(?i)^<script\b") & (raw_attribute(t, "type") == "application/ld+json"),
     )
     return F.transform(scripts, lambda t: F.regexp_extract(t, r"(?is)^<[^>]*>(.*)</script\s*>$", 1))
 
@@ -77,7 +92,7 @@ def meta_tags(shown: Column) -> Column:
     """``array<struct<itemprop, property, content>>`` of the ``meta`` tags of a visible page."""
     tags = F.regexp_extract_all(shown, F.lit(r"(?is)<meta\s[^>]*>"), 0)
     return F.transform(
-        tags, lambda t: F.struct(*[attribute(t, a).alias(a) for a in ("itemprop", "property", "content")])
+        tags, lambda t: F.struct(*[raw_attribute(t, a).alias(a) for a in ("itemprop", "property", "content")])
     )
 
 
@@ -91,10 +106,10 @@ def price_span(shown: Column) -> Column:
     """Text of the first ``span`` of a visible page whose ``data-automation-id`` mentions a price."""
     spans = F.regexp_extract_all(shown, F.lit(r"(?is)<span\s[^>]*>.*?</span\s*>"), 0)
     first = F.get(
-        F.filter(spans, lambda t: F.contains(attribute(t, "data-automation-id"), F.lit("price"))),
+        F.filter(spans, lambda t: F.contains(raw_attribute(t, "data-automation-id"), F.lit("price"))),
         F.lit(0),
     )
-    return F.nullif(inner_text(first), F.lit(""))
+    return F.nullif(raw_text(first), F.lit(""))
 
 
 def loose_price(page: Column) -> Column:

@@ -26,29 +26,29 @@ def unescaped_slashes(c: Column) -> Column:
     return F.replace(c, F.lit("\\/"), F.lit("/"))
 
 
-def _code_point(code: Column) -> Column:
-    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+def _named_references(text: Column) -> Column:
+    # One literal array, folded into the plan as a constant.
+    pairs = ", ".join(
+        f"""struct('{name}' as name, '{char.replace("'", chr(92) + "'")}' as char)"""
+        for name, char in NAMED_ENTITIES.items()
+    )
+    return F.aggregate(F.expr(f"array({pairs})"), text, lambda acc, e: F.replace(acc, e["name"], e["char"]))
 
 
-def _numeric_references(text: Column, pattern: str, base: int) -> Column:
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(f"&#{pattern};"), 1))
-    lead = "&#[xX]0*" if base == 16 else "&#0*"
+def _numeric_references(text: Column) -> Column:
+    codes = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), 1))
 
     def replaced(acc: Column, code: Column) -> Column:
-        digits = F.ltrim(code, F.lit("0"))
-        char = _code_point(F.conv(digits, base, 10).cast("bigint"))
-        return F.regexp_replace(acc, F.concat(F.lit(lead), digits, F.lit(";")), char)
+        number = F.when(code.rlike("^[xX]"), F.conv(F.substr(code, F.lit(2)), 16, 10)).otherwise(code)
+        char = F.decode(F.unhex(F.lpad(F.hex(number.cast("bigint")), 8, "0")), "UTF-32")
+        return F.replace(acc, F.concat(F.lit("&#"), code, F.lit(";")), char)
 
     return F.aggregate(codes, text, replaced)
 
 
 def _decoded(text: Column) -> Column:
-    out = text
-    for name, char in NAMED_ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    out = bind(out, lambda x: _numeric_references(x, "([0-9]{1,6})", 10))
-    out = bind(out, lambda x: _numeric_references(x, "[xX]([0-9a-fA-F]{1,5})", 16))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    numbered = bind(_named_references(text), _numeric_references)
+    return F.replace(numbered, F.lit("&amp;"), F.lit("&"))
 
 
 def decoded_entities(c: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfscope.functions.bind import bind
+
 _QUERY = r"^[^?#]*\?([^#]*)"
 
 
@@ -36,23 +38,28 @@ def query_pairs(url: Column) -> Column:
     return F.transform(parts, pair)
 
 
+def _keys(pairs: Column) -> Column:
+    return F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+
+
 def query_params(url: Column) -> Column:
     """``map<key, array<value>>`` of the query string without blank values."""
-    pairs = F.filter(query_pairs(url), lambda p: p["v"] != "")
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    return F.map_from_arrays(
-        keys,
-        F.transform(
-            keys,
-            lambda k: F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"]),
-        ),
-    )
+
+    def grouped(pairs: Column) -> Column:
+        def values(k: Column) -> Column:
+            return F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"])
+
+        return F.map_from_entries(F.transform(_keys(pairs), lambda k: F.struct(k, values(k))))
+
+    return bind(F.filter(query_pairs(url), lambda p: p["v"] != ""), grouped)
 
 
 def query_param(url: Column, key: str) -> Column:
     """The value of ``key`` where it occurs exactly once."""
-    values = F.try_element_at(query_params(url), F.lit(key))
-    return F.when(F.size(values) == 1, F.get(values, F.lit(0)))
+    values = F.transform(
+        F.filter(query_pairs(url), lambda p: (p["k"] == key) & (p["v"] != "")), lambda p: p["v"]
+    )
+    return bind(values, lambda v: F.when(F.size(v) == 1, F.get(v, F.lit(0))))
 
 
 def page_url(base: Column, offset: Column, layout: Column) -> Column:
@@ -60,27 +67,28 @@ def page_url(base: Column, offset: Column, layout: Column) -> Column:
 
     A key keeps the place of its first occurrence and the value of its last.
     """
-    pairs = query_pairs(base)
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
     offset_text = offset.cast("string")
-    kept = F.transform(
-        keys,
-        lambda k: F.struct(
-            k.alias("k"),
-            F.when(k == "o", offset_text)
-            .otherwise(F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"])
-            .alias("v"),
-        ),
-    )
 
-    def appended(key: str, value: Column) -> Column:
-        wanted = ~F.array_contains(keys, key) & F.coalesce(value != "", F.lit(False))
-        item = F.array(F.struct(F.lit(key).alias("k"), value.alias("v")))
-        return F.filter(item, lambda _: wanted)
+    def pair(key: Column, value: Column) -> Column:
+        return F.struct(key.alias("k"), value.alias("v"))
+
+    def rewritten(pairs: Column) -> Column:
+        def last(k: Column) -> Column:
+            return F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"]
+
+        kept = F.transform(_keys(pairs), lambda k: pair(k, F.when(k == "o", offset_text).otherwise(last(k))))
+        added = F.filter(
+            F.array(pair(F.lit("o"), offset_text), pair(F.lit("l"), F.nullif(layout, F.lit("")))),
+            lambda a: a["v"].isNotNull() & ~F.exists(pairs, lambda p: p["k"] == a["k"]),
+        )
+        return F.concat(kept, added)
 
-    every = F.concat(kept, appended("o", offset_text), appended("l", layout))
     query = F.array_join(
-        F.transform(every, lambda p: F.concat(_encoded(p["k"]), F.lit("="), _encoded(p["v"]))), "&"
+        F.transform(
+            bind(query_pairs(base), rewritten),
+            lambda p: F.concat(_encoded(p["k"]), F.lit("="), _encoded(p["v"])),
+        ),
+        "&",
     )
     fragment = F.regexp_extract(base, r"(#.+)$", 1)
     return F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), F.lit("?"), query, fragment)

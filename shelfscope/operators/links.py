@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfscope.functions.html import anchors
+from shelfscope.functions.html import anchors, visible
 from shelfscope.functions.urls import absolute
 from shelfscope.operators.dedupe import first_seen
 from shelfscope.operators.tags import Tag, tag
@@ -24,7 +24,7 @@ def page_links(
         *keys,
         "page_number",
         tag(base_url).alias("base_url"),
-        F.posexplode(anchors(F.col("html"), prefix)).alias("position", "a"),
+        F.posexplode(anchors(visible(F.col("html")), prefix)).alias("position", "a"),
     ).select(
         *keys,
         "page_number",

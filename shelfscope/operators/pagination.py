@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfscope.functions.html import anchors, attribute, inner_text, visible
+from shelfscope.functions.html import attribute, link_targets, raw_attribute, raw_text, visible
 from shelfscope.functions.text import whole_number
 from shelfscope.functions.urls import page_url
 from shelfscope.functions.variants import falsy, get, members, parsed
@@ -19,13 +19,13 @@ PAGER_NEXT = "bottom-next"
 
 
 def _has_class(tag: Column, name: str) -> Column:
-    return F.array_contains(F.split(attribute(tag, "class"), r"\s+"), name)
+    return F.array_contains(F.split(raw_attribute(tag, "class"), r"\s+"), name)
 
 
-def _pager_buttons(page: Column) -> Column:
+def _pager_buttons(shown: Column) -> Column:
     """The first button of each numbered pager item."""
     lists = F.filter(
-        F.regexp_extract_all(visible(page), F.lit(r"(?is)<ul\b[^>]*>.*?</ul\s*>"), 0),
+        F.regexp_extract_all(shown, F.lit(r"(?is)<ul\b[^>]*>.*?</ul\s*>"), 0),
         lambda t: _has_class(t, PAGER_LIST),
     )
     items = F.flatten(
@@ -38,7 +38,7 @@ def _pager_buttons(page: Column) -> Column:
 
     numbered = F.filter(
         items,
-        lambda i: _has_class(i, PAGER_ITEM) & ~F.contains(attribute(i, "id"), F.lit(PAGER_NEXT)) & ~dots(i),
+        lambda i: _has_class(i, PAGER_ITEM) & ~F.contains(raw_attribute(i, "id"), F.lit(PAGER_NEXT)) & ~dots(i),
     )
     buttons = F.transform(numbered, lambda i: F.regexp_extract(i, r"(?is)<button\b[^>]*>.*?(?=</button\s*>|$)", 0))
     return F.filter(buttons, lambda b: b != "")
@@ -59,16 +59,17 @@ def detect_pagination(pages: DataFrame, prefix: str = PRODUCT_PREFIX) -> DataFra
     """Adds ``total_pages``, ``offset_step`` and ``layout_hint`` to first pages ``(url, html, ...)``."""
     hints = F.transform("buttons", lambda b: parsed(F.nullif(attribute(b, "data-page"), F.lit(""))))
     return (
-        pages.withColumn("buttons", _pager_buttons(F.col("html")))
+        pages.withColumn("shown", visible(F.col("html")))
+        .withColumn("buttons", _pager_buttons(F.col("shown")))
         .withColumn("hints", F.filter(hints, lambda h: members(h).isNotNull()))
         .withColumn(
             "numbers",
             F.transform(
-                "buttons", lambda b: whole_number(inner_text(F.regexp_replace(b, r"(?s)^<[^>]*>", "")))
+                "buttons", lambda b: whole_number(raw_text(F.regexp_replace(b, r"(?s)^<[^>]*>", "")))
             ),
         )
         .withColumn("offsets", F.transform("hints", lambda h: get(h, "$.o", "int")))
-        .withColumn("first_page_items", F.size(F.array_distinct(F.transform(anchors(F.col("html"), prefix), lambda a: a["href"]))))
+        .withColumn("first_page_items", F.size(link_targets(F.col("shown"), prefix)))
         .withColumns(
             {
                 "total_pages": F.coalesce(F.array_max("numbers"), F.lit(1)),
@@ -80,7 +81,7 @@ def detect_pagination(pages: DataFrame, prefix: str = PRODUCT_PREFIX) -> DataFra
                 ),
             }
         )
-        .drop("buttons", "hints", "numbers", "offsets", "first_page_items")
+        .drop("shown", "buttons", "hints", "numbers", "offsets", "first_page_items")
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfscope.functions.html import ld_json_blocks, loose_price, meta_content, meta_tags, price_span, visible
-from shelfscope.functions.text import slug_title
+from shelfscope.functions.text import decoded_entities, slug_title
 
 # Offer fields that may hold the price, in order of trust. The currency code is not one.
 PRICE_FIELDS = ("price", "lowPrice", "highPrice")
@@ -85,19 +85,15 @@ def product_pages(pages: DataFrame, url: str = "url", html: str = "html", lenien
         )
         .withColumn("metas", meta_tags(F.col("shown")))
     )
+    # Script data is JSON; only what was read off the markup carries character references.
+    title = F.coalesce(meta_content(metas, "itemprop", "name"), meta_content(metas, "property", "og:title"))
+    price = F.coalesce(
+        meta_content(metas, "itemprop", "price"),
+        price_span(F.col("shown")),
+        meta_content(metas, "property", "product:price:amount"),
+    )
     return facts.select(
-        F.coalesce(
-            F.nullif(F.col("ld.title"), F.lit("")),
-            meta_content(metas, "itemprop", "name"),
-            meta_content(metas, "property", "og:title"),
-            slug_title(F.col("link")),
-        ).alias("title"),
-        F.coalesce(
-            F.nullif(F.col("ld.price"), F.lit("")),
-            meta_content(metas, "itemprop", "price"),
-            price_span(F.col("shown")),
-            meta_content(metas, "property", "product:price:amount"),
-            F.col("loose"),
-        ).alias("price_raw"),
+        F.coalesce(F.nullif(F.col("ld.title"), F.lit("")), decoded_entities(title), slug_title(F.col("link"))).alias("title"),
+        F.coalesce(F.nullif(F.col("ld.price"), F.lit("")), decoded_entities(price), F.col("loose")).alias("price_raw"),
         "link",
     ).where("title <> ''")

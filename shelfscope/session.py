@@ -33,6 +33,8 @@ def local_session(app: str, cpus: int = 8, **conf: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
+        # Call-site capture for error messages makes building large expressions several times slower.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
