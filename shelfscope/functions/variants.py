@@ -47,7 +47,7 @@ def falsy(v: Column) -> Column:
     """
 
     def empty(x: Column) -> Column:
-        return F.when(F.coalesce(F.is_variant_null(x), F.lit(True)), F.lit(True)).otherwise(
+        return F.when(x.isNull() | F.is_variant_null(x), F.lit(True)).otherwise(
             F.coalesce(F.size(F.map_keys(members(x))) == 0, F.to_json(x).rlike(EMPTY_JSON))
         )
 
