@@ -17,13 +17,18 @@ def seller_key(df: DataFrame, column: str) -> Column:
     return F.col(stored) if stored in df.columns else F.lower(F.col(column))
 
 
+def _lowered(seller: str) -> Column:
+    # Folded to a literal before the scan is planned, and lowered by the same rules as the column.
+    return F.lower(F.lit(seller))
+
+
 def same_seller(key: Column, seller: str) -> Column:
-    return key == F.lit(seller.lower())
+    return key == _lowered(seller)
 
 
 def other_seller(key: Column, seller: str) -> Column:
     """Another seller; an unknown seller (NULL) is not another seller."""
-    return key != F.lit(seller.lower())
+    return key != _lowered(seller)
 
 
 def asin_is(asin: str) -> Column:

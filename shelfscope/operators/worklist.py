@@ -63,10 +63,8 @@ def attach_payloads(worklist: DataFrame, payloads: DataFrame, key: str = "asin")
     counts. Repeated work-list keys keep their rows and share it. The payload side has one row per
     key after its aggregation, so a key repeated many times in the work-list is split by AQE's skew join.
     """
-    # The order is a struct: max_by skips rows whose order is NULL, a struct of NULLs still counts.
-    newest = payloads.groupBy(key).agg(
-        F.max_by(F.struct("payload"), F.struct("landed_at", "payload")).alias("hit")
-    )
+    # A struct holds the payload once; a retried NULL payload still counts as an answer.
+    newest = payloads.groupBy(key).agg(F.max(F.struct("landed_at", "payload")).alias("hit"))
     joined = worklist.join(newest, key, "left")
     return joined.withColumn(
         "payload",

@@ -201,3 +201,23 @@ def test_plans_prune_and_limit(spark, tmp_path):
     o = offers(spark, (0, "P1", "me", 1.0))
     plan = portfolio_health(stored, o, "me", TODAY)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_desk_gives_every_report(spark):
+    from shelfscope.plans.desk import SellerDesk
+
+    g = gold(spark, (0, "A", "x"), (1, "A", "me"), (0, "B", None))
+    desk = SellerDesk(g, offers(spark, (0, "A", "me", 11.0)), TODAY)
+    counts = [
+        df.count()
+        for df in (
+            desk.daily_pulse("ME"), desk.price_competitiveness("a"), desk.stock_status("me"), desk.buy_box_changes("me"),
+            desk.general_data(), desk.product_performance("a", "me"), desk.diagnosis("me"), desk.portfolio_health("me"),
+            desk.asin_raw_history("a"), desk.current_owners("me"), desk.competitor_history("me"),
+        )
+    ]
+    assert counts == [2, 2, 1, 1, 3, 2, 2, 1, 2, 1, 1]
+    lines = [r["line"] for r in desk.competitor_landscape("me", ["b"]).orderBy("part", "pos").collect()]
+    assert lines[1] == lines[3] == "No data found for the requested filters."
+    lines = [r["line"] for r in desk.competitor_landscape("me").orderBy("part", "pos").collect()]
+    assert lines[2] == "x,1,10.0" and lines[5] == "x,1,10.0"
