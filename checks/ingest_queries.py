@@ -74,7 +74,8 @@ def ing4_crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gen9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "pages")
-        .select("page_id", F.posexplode(anchors(visible(F.col("html")), "/")).alias("position", "a"))
+        .select("page_id", F.posexplode_outer(anchors(visible(F.col("html")), "/")).alias("position", "a"))
+        .where("a is not null")
         .select("page_id", "position", "a.href", "a.title")
     )
 
@@ -162,7 +163,7 @@ def agg16(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def src1(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = usable_lines(F.split("text", "\r\n|\r|\n"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode(lines).alias("value"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode_outer(lines).alias("value")).where("value is not null")
 
 
 def src4(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfscope.functions.bind import once
 from shelfscope.functions.variants import (
     first_item, first_selected, first_truthy, get, joined_lines, jsonish, members, parsed,
     present, text_or,
@@ -49,7 +50,7 @@ def flatten_details(
             tag(node_label).alias("node"),
             tag(extracted_at).alias("extracted_at"),
             F.col(payload).alias("payload_raw"),
-            parsed(F.col(payload)).alias("v"),
+            once(parsed(F.col(payload))).alias("v"),
         )
         .withColumns(
             {

@@ -24,8 +24,9 @@ def page_links(
         *keys,
         "page_number",
         tag(base_url).alias("base_url"),
-        F.posexplode(anchors(visible(F.col("html")), prefix)).alias("position", "a"),
-    ).select(
+        # The outer form spares a size filter, which would read the page a second time.
+        F.posexplode_outer(anchors(visible(F.col("html")), prefix)).alias("position", "a"),
+    ).where("a is not null").select(
         *keys,
         "page_number",
         "position",

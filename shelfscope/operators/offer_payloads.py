@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfscope.functions.bind import bind
+from shelfscope.functions.bind import bind, once
 from shelfscope.functions.variants import elements, falsy, get, members, parsed, present, text_or
 from shelfscope.operators.tags import Tag, tag
 from shelfscope.schemas import OFFERS, conform
@@ -48,39 +48,63 @@ def _options(raw: Column) -> Column:
     return F.when(present(raw), _sequence(raw, _OBJECT)).otherwise(unknown)
 
 
-def _offer(o: Column) -> Column:
+def _option(d: Column) -> Column:
+    date = F.try_element_at(d, F.lit("date"))
     return F.struct(
-        o.isNull().alias("broken"),
-        *[o[name].alias(name) for name in _OFFER_FIELDS],
-        o["delivery_options"].alias("raw_options"),
-        _options(o["delivery_options"]).alias("options"),
+        get(F.try_element_at(d, F.lit("type")), "$", "string").alias("type"),
+        get(date, "$.by", "string").alias("by"),
+        F.when(F.cardinality(d) > 0, F.lit(True)).alias("known"),
+        # Spelled out by a cast: an object that names no day is fine, any other value is not.
+        bind(date, lambda x: present(x) & members(x).isNull()).alias("broken"),
     )
 
 
-def _broken_offer(o: Column) -> Column:
-    """No object, options that cannot be walked, a date that is no object, or a stray value as option."""
+def _stray(raw: Column, options: Column) -> Column:
+    """Some option is neither an object nor empty."""
+    suspect = F.exists(options, lambda d: d.isNull())
+    return F.coalesce(
+        suspect & F.exists(elements(raw), lambda x: members(x).isNull() & ~falsy(x)), F.lit(False)
+    )
 
-    def odd_date(d: Column) -> Column:
-        return bind(F.try_element_at(d, F.lit("date")), lambda x: present(x) & members(x).isNull())
 
-    stray = F.exists(o["options"], lambda d: d.isNull()) & F.exists(
-        elements(o["raw_options"]), lambda x: members(x).isNull() & ~falsy(x)
-    )
-    return (
-        o["broken"]
-        | o["options"].isNull()
-        | F.coalesce(F.exists(o["options"], odd_date), F.lit(False))
-        | F.coalesce(stray, F.lit(False))
+def _offer(o: Column) -> Column:
+    raw = o["delivery_options"]
+    return bind(
+        _options(raw),
+        lambda options: F.struct(
+            (o.isNull() | options.isNull() | _stray(raw, options)).alias("broken"),
+            *[o[name].alias(name) for name in _OFFER_FIELDS],
+            F.transform(options, _option).alias("options"),
+        ),
     )
 
 
+def _broken_offer(o: Column) -> Column:
+    return o["broken"] | F.exists(o["options"], lambda d: d["broken"])
+
+
 def _line(o: Column, offer_index: Column, d: Column, option_index: Column) -> Column:
     return F.struct(
         *[o[name].alias(name) for name in _OFFER_FIELDS],
-        get(F.try_element_at(d, F.lit("type")), "$", "string").alias("delivery_type"),
-        get(F.try_element_at(d, F.lit("date")), "$.by", "string").alias("delivery_date"),
+        d["type"].alias("delivery_type"),
+        d["by"].alias("delivery_date"),
         (offer_index + 1).alias("offer_position"),
-        F.when(F.cardinality(d) > 0, option_index + 1).alias("delivery_option_position"),
+        F.when(d["known"], option_index + 1).alias("delivery_option_position"),
+        F.lit("offer").alias("pricing_status"),
+        F.lit(None).cast("string").alias("error_message"),
+    )
+
+
+def _status_line(status: str, message: Column) -> Column:
+    """The one line of a key without offers."""
+    fields = {**_OFFER_FIELDS, **dict.fromkeys(("delivery_type", "delivery_date"), "string")}
+    fields |= dict.fromkeys(("offer_position", "delivery_option_position"), "int")
+    return F.array(
+        F.struct(
+            *[F.lit(None).cast(type_).alias(name) for name, type_ in fields.items()],
+            F.lit(status).alias("pricing_status"),
+            message.alias("error_message"),
+        )
     )
 
 
@@ -98,7 +122,7 @@ def flatten_offers(
     payload and the rows come from one generator, so every key yields at least one row without a
     join or a shuffle.
     """
-    v, content, fields = F.col("v"), F.col("content"), F.col("fields")
+    v, content, fields, lines = F.col("v"), F.col("content"), F.col("fields"), F.col("lines")
     failed = v.isNull() | (present(get(v, "$.error")) & ~present(get(v, "$.results")))
     tags = ["category_label", "node_label", "extracted_at"]
     answered = (
@@ -107,7 +131,7 @@ def flatten_offers(
             tag(category_label).alias("category_label"),
             tag(node_label).alias("node_label"),
             tag(extracted_at).alias("extracted_at"),
-            parsed(F.col(payload)).alias("v"),
+            once(parsed(F.col(payload))).alias("v"),
         )
         .select(
             "input_key",
@@ -134,36 +158,30 @@ def flatten_offers(
             F.when(
                 ~F.col("failed") & ~F.col("malformed"),
                 F.flatten(
-                    F.transform(
-                        "offers",
-                        lambda o, i: F.transform(o["options"], lambda d, j: _line(o, i, d, j)),
-                    )
+                    F.transform("offers", lambda o, i: F.transform(o["options"], lambda d, j: _line(o, i, d, j)))
                 ),
             ),
         )
-        .withColumn(
-            "pricing_status",
-            F.when(F.col("failed") | F.col("malformed"), "error")
-            .when(F.size("lines") > 0, "offer")
-            .otherwise("no_offers"),
-        )
     )
-    known = F.col("pricing_status") != "error"
+    known = ~F.col("failed") & ~F.col("malformed")
+    sold = F.size(lines) > 0
     asin = get(content, "$.asin")
-    # Product fields are read before the rows are multiplied, so the payload itself is not copied.
+    # Product fields are read before the rows are multiplied, so the payload itself is not copied. The
+    # status travels in the line: a filter on it then stays above the generator, where it costs nothing.
     rows = answered.select(
-        F.when(F.col("pricing_status") == "offer", get(asin, "$", "string"))
+        F.when(known & sold, get(asin, "$", "string"))
         .when(known, text_or(asin, F.col("input_key")))
         .otherwise(F.col("input_key"))
         .alias("asin"),
         F.when(known, get(content, "$.title", "string")).alias("title"),
         F.when(known, get(content, "$.url", "string")).alias("url"),
         F.when(known, get(content, "$.review_count", "bigint")).alias("review_count"),
-        "category_label",
-        "node_label",
-        "extracted_at",
-        "pricing_status",
-        F.when(F.col("failed"), F.col("message")).when(F.col("malformed"), F.lit(MALFORMED)).alias("error_message"),
-        F.when(F.col("pricing_status") == "offer", F.col("lines")).alias("lines"),
+        *tags,
+        F.explode_outer(
+            F.when(F.col("failed"), _status_line("error", F.col("message")))
+            .when(F.col("malformed"), _status_line("error", F.lit(MALFORMED)))
+            .when(sold, lines)
+            .otherwise(_status_line("no_offers", F.lit(None).cast("string")))
+        ).alias("line"),
     )
-    return conform(rows.withColumn("line", F.explode_outer("lines")).select("*", "line.*"), OFFERS)
+    return conform(rows.select("*", "line.*"), OFFERS)

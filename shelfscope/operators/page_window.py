@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfscope.functions.bind import once
 from shelfscope.functions.variants import falsy, get, parsed, present
 
 PAGE_CAP = 100
@@ -25,7 +26,7 @@ def page_flags(pages: DataFrame, payload: str = "payload") -> DataFrame:
     """Adds ``failed`` (an error was reported) and ``has_next``."""
     v = F.col("_v")
     return (
-        pages.withColumn("_v", parsed(F.col(payload)))
+        pages.select("*", once(parsed(F.col(payload))).alias("_v"))
         .withColumns(
             {
                 "failed": v.isNull() | ~falsy(get(v, "$.error")),

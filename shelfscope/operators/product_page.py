@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfscope.functions.bind import once
 from shelfscope.functions.html import ld_json_blocks, loose_price, meta_content, meta_tags, price_span, visible
 from shelfscope.functions.text import decoded_entities, slug_title
 
@@ -93,7 +94,7 @@ def product_pages(pages: DataFrame, url: str = "url", html: str = "html", lenien
         meta_content(metas, "property", "product:price:amount"),
     )
     return facts.select(
-        F.coalesce(F.nullif(F.col("ld.title"), F.lit("")), decoded_entities(title), slug_title(F.col("link"))).alias("title"),
+        once(F.coalesce(F.nullif(F.col("ld.title"), F.lit("")), decoded_entities(title), slug_title(F.col("link")))).alias("title"),
         F.coalesce(F.nullif(F.col("ld.price"), F.lit("")), decoded_entities(price), F.col("loose")).alias("price_raw"),
         "link",
     ).where("title <> ''")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfscope.functions.bind import once
 from shelfscope.functions.predicates import sponsored
 from shelfscope.functions.text import unescaped_slashes
 from shelfscope.functions.variants import elements, get, members, parsed
@@ -25,14 +26,14 @@ def flatten_search_pages(
             "page_number",
             tag(category_label).alias("category_label"),
             tag(extracted_at).alias("extracted_at"),
-            parsed(F.col(payload)).alias("v"),
+            once(parsed(F.col(payload))).alias("v"),
         )
         .select(
             "page_number",
             "category_label",
             "extracted_at",
             get(F.col("v"), "$.search_parameters.node", "string").alias("node"),
-            F.explode(elements(get(F.col("v"), "$.organic_results"))).alias("p"),
+            F.explode_outer(elements(get(F.col("v"), "$.organic_results"))).alias("p"),
         )
         .where(members(F.col("p")).isNotNull())
     )
