@@ -25,7 +25,8 @@ _OFFER_FIELDS = {
 }
 
 
-_OBJECT = "map<string,variant>"
+_OPTION = "struct<type:string,date:variant>"
+_CONTENT = "struct<asin:variant,title:string,url:string,review_count:bigint,pricing:variant>"
 _OFFER = "struct<" + ",".join(f"{k}:{t}" for k, t in _OFFER_FIELDS.items()) + ",delivery_options:variant>"
 
 
@@ -44,18 +45,23 @@ def _sequence(v: Column, element: str) -> Column:
 
 def _options(raw: Column) -> Column:
     """Delivery options; a missing list stands for one unknown option, an empty one for none."""
-    unknown = F.array(F.lit(None).cast(_OBJECT))
-    return F.when(present(raw), _sequence(raw, _OBJECT)).otherwise(unknown)
+    unknown = F.array(F.lit(None).cast(_OPTION))
+    return F.when(present(raw), _sequence(raw, _OPTION)).otherwise(unknown)
 
 
-def _option(d: Column) -> Column:
-    date = F.try_element_at(d, F.lit("date"))
-    return F.struct(
-        get(F.try_element_at(d, F.lit("type")), "$", "string").alias("type"),
-        get(date, "$.by", "string").alias("by"),
-        F.when(F.cardinality(d) > 0, F.lit(True)).alias("known"),
-        # Spelled out by a cast: an object that names no day is fine, any other value is not.
-        bind(date, lambda x: present(x) & members(x).isNull()).alias("broken"),
+def _option(raw: Column, d: Column, index: Column) -> Column:
+    """An option's parts, whether it holds anything, and whether its date is no object."""
+    # An object without type and date may still hold something else; only then it is looked at again.
+    other = F.cardinality(members(F.get(elements(raw), index))) > 0
+    known = F.when(d["type"].isNotNull() | present(d["date"]), F.lit(True)).when(d.isNotNull(), other)
+    return bind(
+        get(d["date"], "$", "struct<by:string>"),
+        lambda day: F.struct(
+            d["type"].alias("type"),
+            day["by"].alias("by"),
+            known.alias("known"),
+            (present(d["date"]) & day.isNull()).alias("broken"),
+        ),
     )
 
 
@@ -74,7 +80,7 @@ def _offer(o: Column) -> Column:
         lambda options: F.struct(
             (o.isNull() | options.isNull() | _stray(raw, options)).alias("broken"),
             *[o[name].alias(name) for name in _OFFER_FIELDS],
-            F.transform(options, _option).alias("options"),
+            F.transform(options, lambda d, j: _option(raw, d, j)).alias("options"),
         ),
     )
 
@@ -122,7 +128,7 @@ def flatten_offers(
     payload and the rows come from one generator, so every key yields at least one row without a
     join or a shuffle.
     """
-    v, content, fields, lines = F.col("v"), F.col("content"), F.col("fields"), F.col("lines")
+    v, answer, content, lines = F.col("v"), F.col("answer"), F.col("content"), F.col("lines")
     failed = v.isNull() | (present(get(v, "$.error")) & ~present(get(v, "$.results")))
     tags = ["category_label", "node_label", "extracted_at"]
     answered = (
@@ -138,18 +144,14 @@ def flatten_offers(
             *tags,
             failed.alias("failed"),
             F.when(v.isNull(), F.lit("unreadable payload")).otherwise(get(v, "$.error", "string")).alias("message"),
-            get(v, "$.results[0].content").alias("content"),
-        )
-        .withColumns(
-            {
-                "fields": F.cardinality(members(content)),
-                "offers": F.transform(_sequence(get(content, "$.pricing"), _OFFER), _offer),
-            }
+            get(v, "$.results[0].content").alias("answer"),
         )
+        .withColumn("content", get(answer, "$", _CONTENT))  # NULL where it is no object
+        .withColumn("offers", F.transform(_sequence(content["pricing"], _OFFER), _offer))
         .withColumn(
             "malformed",
-            F.when(fields.isNull(), ~falsy(content)).otherwise(
-                (F.col("offers").isNull() & present(get(content, "$.pricing")))
+            F.when(content.isNull(), ~falsy(answer)).otherwise(
+                (F.col("offers").isNull() & present(content["pricing"]))
                 | F.coalesce(F.exists("offers", _broken_offer), F.lit(False))
             ),
         )
@@ -165,7 +167,7 @@ def flatten_offers(
     )
     known = ~F.col("failed") & ~F.col("malformed")
     sold = F.size(lines) > 0
-    asin = get(content, "$.asin")
+    asin = content["asin"]
     # Product fields are read before the rows are multiplied, so the payload itself is not copied. The
     # status travels in the line: a filter on it then stays above the generator, where it costs nothing.
     rows = answered.select(
@@ -173,9 +175,9 @@ def flatten_offers(
         .when(known, text_or(asin, F.col("input_key")))
         .otherwise(F.col("input_key"))
         .alias("asin"),
-        F.when(known, get(content, "$.title", "string")).alias("title"),
-        F.when(known, get(content, "$.url", "string")).alias("url"),
-        F.when(known, get(content, "$.review_count", "bigint")).alias("review_count"),
+        F.when(known, content["title"]).alias("title"),
+        F.when(known, content["url"]).alias("url"),
+        F.when(known, content["review_count"]).alias("review_count"),
         *tags,
         F.explode_outer(
             F.when(F.col("failed"), _status_line("error", F.col("message")))
