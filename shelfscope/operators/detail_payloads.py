@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfscope.functions.bind import once
@@ -26,6 +26,17 @@ _NESTED = (
 ).split()
 
 
+_MIXED = "asin asin_in_url review_count reviews_count category bullet_points variation".split()
+_CONTENT = "struct<" + ",".join(
+    f"{name}:{kind}"
+    for names, kind in (
+        (_TEXT, "string"), (_NUMBER, "double"), (_FLAG, "boolean"), (["answered_questions_count"], "bigint"),
+        (_NESTED + _MIXED, "variant"),
+    )
+    for name in names
+) + ">"
+
+
 def flatten_details(
     payloads: DataFrame,
     category_label: Tag,
@@ -36,13 +47,9 @@ def flatten_details(
 ) -> DataFrame:
     """Status, scalar and nested fields of each payload; nested fields stay VARIANT.
 
-    One projection per row: the payload is parsed once and nothing is shuffled.
+    The payload is parsed once, its fields come out of one typed read, and nothing is shuffled.
     """
-    v, c = F.col("v"), F.col("c")
-
-    def field(name: str, type_: str = "variant") -> Column:
-        return get(c, f"$.{name}", type_)
-
+    v, c, answer = F.col("v"), F.col("c"), F.col("answer")
     rows = (
         payloads.select(
             F.col(key).alias("input_key"),
@@ -55,42 +62,42 @@ def flatten_details(
         .withColumns(
             {
                 "failed": v.isNull() | (present(get(v, "$.error")) & ~present(get(v, "$.results"))),
-                "c": get(v, "$.results[0].content"),
+                "answer": get(v, "$.results[0].content"),
             }
         )
+        .withColumn("c", get(answer, "$", _CONTENT))
         # Only an object with members counts as content.
-        .withColumn("c", F.when(~F.col("failed") & (F.size(members(c)) > 0), c))
-        .withColumn("images", jsonish(field("images")))
         .withColumn(
-            "variation_all",
-            F.coalesce(jsonish(first_truthy(field("variation"))), F.parse_json(F.lit("[]"))),
+            "found",
+            c.isNotNull()
+            & (present(c["asin"]) | c["title"].isNotNull() | (F.cardinality(members(answer)) > 0)),
+        )
+        .withColumn("images", jsonish(c["images"]))
+        .withColumn(
+            "variation_all", F.coalesce(jsonish(first_truthy(c["variation"])), F.parse_json(F.lit("[]")))
         )
         .withColumn("selected", first_selected(F.col("variation_all")))
     )
-    nested = {name: jsonish(field(name)) for name in _NESTED if name != "images"}
-    category = first_truthy(field("category"))
+    reviews = first_truthy(c["review_count"], c["reviews_count"])
     return conform(
         rows.select(
             F.coalesce(
-                text_or(field("asin"), F.lit(None)), text_or(field("asin_in_url"), F.lit(None)), F.col("input_key")
+                text_or(c["asin"], F.lit(None)), text_or(c["asin_in_url"], F.lit(None)), F.col("input_key")
             ).alias("asin"),
             "category_label",
             "node",
             "extracted_at",
-            *[field(name, "string").alias(name) for name in _TEXT],
-            *[field(name, "double").alias(name) for name in _NUMBER],
-            *[field(name, "boolean").alias(name) for name in _FLAG],
-            get(first_truthy(field("review_count"), field("reviews_count")), "$", "bigint").alias("review_count"),
-            field("answered_questions_count", "bigint").alias("answered_questions_count"),
-            jsonish(F.coalesce(category, F.col("category_label").cast("variant"))).alias("category"),
-            *[value.alias(name) for name, value in nested.items()],
+            *[c[name].alias(name) for name in (*_TEXT, *_NUMBER, *_FLAG, "answered_questions_count")],
+            get(reviews, "$", "bigint").alias("review_count"),
+            jsonish(F.coalesce(first_truthy(c["category"]), F.col("category_label").cast("variant"))).alias("category"),
+            *[jsonish(c[name]).alias(name) for name in _NESTED if name != "images"],
             "images",
             first_item(F.col("images")).alias("main_image"),
-            joined_lines(field("bullet_points")).alias("bullet_points"),
+            joined_lines(c["bullet_points"]).alias("bullet_points"),
             get(F.col("selected"), "$.asin", "string").alias("variation_selected_asin"),
             jsonish(get(F.col("selected"), "$.dimensions")).alias("variation_selected_dimensions"),
             "variation_all",
-            F.when(F.col("failed"), "error").when(c.isNull(), "no_content").otherwise("ok").alias("item_status"),
+            F.when(F.col("failed"), "error").when(F.col("found"), "ok").otherwise("no_content").alias("item_status"),
             F.when(v.isNull(), F.lit("unreadable payload"))
             .when(F.col("failed"), get(v, "$.error", "string"))
             .alias("error_message"),

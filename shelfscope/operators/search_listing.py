@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfscope.functions.bind import once
 from shelfscope.functions.predicates import sponsored
 from shelfscope.functions.text import unescaped_slashes
-from shelfscope.functions.variants import elements, get, members, parsed
+from shelfscope.functions.variants import get, parsed
 from shelfscope.operators.tags import Tag, tag
 from shelfscope.schemas import SEARCH_LISTING, conform
 
+# Fields of a search result.
+_RESULT = (
+    "struct<position:int,asin:string,title:string,link:string,rating:double,reviews:bigint,"
+    "bought_last_month:string,price:variant,extracted_price:double,delivery:string>"
+)
+
 
 def flatten_search_pages(
     pages: DataFrame, category_label: Tag, extracted_at: Tag, payload: str = "payload"
@@ -33,32 +39,22 @@ def flatten_search_pages(
             "category_label",
             "extracted_at",
             get(F.col("v"), "$.search_parameters.node", "string").alias("node"),
-            F.explode_outer(elements(get(F.col("v"), "$.organic_results"))).alias("p"),
+            # Results that are no objects come out NULL and are dropped, as is the row of an empty page.
+            F.explode_outer(get(F.col("v"), "$.organic_results", f"array<{_RESULT}>")).alias("p"),
         )
-        .where(members(F.col("p")).isNotNull())
+        .where("p is not null")
+        .select("*", "p.*")
+        .withColumn("link", F.coalesce("link", F.lit("")))
     )
-    p = F.col("p")
-
-    def field(name: str, type_: str = "string") -> Column:
-        return get(p, f"$.{name}", type_)
-
-    link = F.coalesce(field("link"), F.lit(""))
     return conform(
-        rows.select(
-            "page_number",
-            "category_label",
-            "node",
-            field("position", "int").alias("position"),
-            *[field(c).alias(c) for c in ("asin", "title", "bought_last_month", "delivery")],
-            unescaped_slashes(link).alias("link"),
-            field("rating", "double").alias("rating"),
-            field("reviews", "bigint").alias("reviews"),
-            # A path into something that is not an object is NULL: a price given as text has no parts.
-            field("price.raw").alias("price_raw"),
-            field("price.currency").alias("currency"),
-            field("extracted_price", "double").alias("extracted_price"),
-            sponsored(link).alias("is_sponsored"),
-            "extracted_at",
+        rows.withColumns(
+            {
+                # A path into something that is not an object is NULL: a price given as text has no parts.
+                "price_raw": get(F.col("price"), "$.raw", "string"),
+                "currency": get(F.col("price"), "$.currency", "string"),
+                "is_sponsored": sponsored(F.col("link")),
+                "link": unescaped_slashes(F.col("link")),
+            }
         ),
         SEARCH_LISTING,
     )
