@@ -51,7 +51,7 @@ def sca21(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id",
         page.alias("page_text"),
         T.page_number_or_next(page, F.lit(1)).alias("next_page"),
-        F.array_sort(F.map_keys(U.query_params(F.col("url")))).alias("keys"),
+        F.array_join(F.array_sort(F.map_keys(U.query_params(F.col("url")))), ",").alias("keys"),
     )
 
 
@@ -103,7 +103,7 @@ select page_id, p || '?' || case when q <> '' then q || '&' else '' end || 'o='
     "sca21_query_params": r"""with u as (select page_id, regexp_extract(url, '\?([^#]*)', 1) q from pages)
 select page_id, nullif(regexp_extract(q, '(?:^|&)page=([^&]*)', 1), '') page_text,
   coalesce(try_cast(nullif(regexp_extract(q, '(?:^|&)page=([^&]*)', 1), '') as integer), 2) next_page,
-  list_sort(list_distinct(regexp_extract_all(q, '(?:^|&)([^=&]+)=[^&]+', 1))) keys from u""",
+  array_to_string(list_sort(list_distinct(regexp_extract_all(q, '(?:^|&)([^=&]+)=[^&]+', 1))), ',') keys from u""",
     "sca23_lookup_url": """select doc_id, 'https:%2F%2F' || replace(url_encode(text), '%3D', '=') encoded from documents""",
     "sca24_time_text": """select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' iso, strftime(ts, '%Y%m%d_%H%M%S') stamp from events""",
     "win3_latest_per_key": """select user_id, event_type, ts, event_id from (select *, row_number() over (partition by user_id

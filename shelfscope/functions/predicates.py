@@ -68,6 +68,10 @@ def truthy_key(df: DataFrame, column: str) -> Column:
     return F.col(column).isNotNull() & (F.col(column) != empty)
 
 
+# Fixed value: part of the links of paid placements.
+SPONSORED_LINK = "sspa/click"
+
+
 def sponsored(link: Column) -> Column:
     """A paid placement; a missing link is not one."""
-    return F.coalesce(F.contains(link, F.lit("sspa/click")), F.lit(False))
+    return F.coalesce(F.contains(link, F.lit(SPONSORED_LINK)), F.lit(False))

@@ -12,6 +12,7 @@ from shelfscope.schemas import OFFERS, conform
 
 MALFORMED = "malformed offer payload"
 
+# Fields of an offer, and of the page it is on.
 _OFFER_FIELDS = {
     "seller": "string",
     "price": "double",

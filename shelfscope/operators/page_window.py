@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfscope.functions.bind import once
 from shelfscope.functions.variants import falsy, get, parsed, present
 
+# Fixed value: most pages a run reads of one source.
 PAGE_CAP = 100
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfscope.functions.predicates import truthy_key
 from shelfscope.functions.text import stripped
 
+# Answers that stand for none.
 MISSING_PAYLOAD = '{"error":"Missing result"}'
 EMPTY_PAYLOAD = '{"error":"Empty payload"}'
 

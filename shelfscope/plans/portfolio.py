@@ -10,6 +10,7 @@ from shelfscope.functions.dates import AsOf, as_of_date, looks_back
 from shelfscope.functions.text import percent
 from shelfscope.plans.reports import HOLDER, recent
 
+# Length of the product lists, and the win rate a healthy portfolio exceeds.
 LIST_CAP = 20
 HEALTHY_ABOVE = 70
 

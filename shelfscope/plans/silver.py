@@ -78,9 +78,10 @@ def current_listing(listing_rows: DataFrame, scope: Sequence[str] = ("category_l
 
 
 def write_offers(offers: DataFrame, path: str) -> None:
-    """Write silver offers partitioned by day; only the days present are replaced."""
+    """Write silver offers partitioned by day and sorted by product; only the days present are replaced."""
     (
         offers.hint("rebalance", "snapshot_date")
+        .sortWithinPartitions("snapshot_date", "asin")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date")

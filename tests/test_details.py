@@ -115,3 +115,24 @@ def test_snapshot_prefers_the_detail_page(spark, rows):
     assert (float(c["pdp_total_price"]), c["buybox_seller_name"], c["seller_id_count"], c["min_total_price"]) == (7.0, None, 0, None)
     only_offers = {r["asin"]: r for r in rows(daily_snapshot(offers))}
     assert only_offers["A"]["buybox_seller_name"] == "Two"  # first by offer position
+
+
+def test_refresh_replaces_recent_days_only(spark, tmp_path):
+    import datetime as dt
+
+    from shelfscope.plans.gold import refresh_snapshot, write_snapshot
+    from shelfscope.schemas import GOLD_SNAPSHOT, SILVER_OFFERS, conform
+
+    def offers(*entries):
+        df = spark.createDataFrame([(a, dt.date(2024, 1, d), s, p, 1) for a, d, s, p in entries],
+                                   "asin string, snapshot_date date, seller_name string, total_price double, offer_position int")
+        return conform(df.selectExpr("*", "cast(snapshot_date as timestamp) as extracted_at", "seller_name as seller_id"), SILVER_OFFERS)
+
+    path = str(tmp_path / "gold")
+    write_snapshot(daily_snapshot(offers(("A", 1, "x", 1.0), ("A", 2, "x", 2.0), ("B", 2, "x", 2.0))), path)
+    late = flatten_details(spark.createDataFrame([("A", content(asin="A", price=7))], "asin string, payload string"), "c", None, "2024-01-03T08:00:00+00:00")
+    refresh_snapshot(offers(("A", 1, "y", 9.0), ("A", 2, "y", 9.0)), late, path, "2024-01-02")
+    gold = spark.read.parquet(path)
+    assert {f.name: f.dataType for f in gold.schema} == {f.name: f.dataType for f in GOLD_SNAPSHOT}
+    got = {(r["snapshot_date"].day, r["asin"], r["buybox_seller_name"], float(r["pdp_total_price"])) for r in gold.collect()}
+    assert got == {(1, "A", "x", 1.0), (2, "A", "y", 9.0), (3, "A", None, 7.0)}
