@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,15 @@ class Tables:
     def gold(self) -> DataFrame:
         return self.spark.table(self.names.gold)
 
+    def newest_snapshot(self) -> dt.date | None:
+        """Newest day of the stored gold table, read from the catalog's partitions without touching files.
+
+        Passed as ``as_of`` it is a literal, so look-backs prune the days while the query is planned.
+        """
+        partitions = self.spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": self.names.gold})
+        day = F.to_date(F.regexp_extract("partition", r"snapshot_date=([0-9-]+)", 1))
+        return partitions.select(F.max(day)).first()[0]
+
     def offers(self) -> DataFrame:
         return self.spark.table(self.names.offers)
 

@@ -214,3 +214,12 @@ def test_shared_folder_is_the_clusters(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None)
     assert folder is None or shared_folder(spark) == folder.rstrip("/")
     assert REGISTRY.fieldNames() == ["name", "type", "enabled", "parameters"]
+
+
+def test_newest_snapshot_comes_from_the_catalog(spark, tmp_path):
+    days = spark.sql("select explode(sequence(date'2024-01-30', date'2024-02-02')) as snapshot_date").withColumn("asin", F.lit("A"))
+    days.write.partitionBy("snapshot_date").option("path", str(tmp_path / "gold")).saveAsTable("gold_days")
+    try:
+        assert Tables(spark, TableNames(gold="gold_days")).newest_snapshot() == dt.date(2024, 2, 2)
+    finally:
+        spark.sql("drop table gold_days")
