@@ -35,7 +35,7 @@ SHOP = "https://shop.example.com/list/"
 
 
 def ing1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = L.search_pages(spark, sf_dir).withColumnRenamed("source_page", "page_number")
+    pages = L.search_pages(spark, sf_dir).withColumn("page_number", F.col("source_page"))
     return flatten_search_pages(pages, "cat", RUN_AT)
 
 
@@ -332,7 +332,7 @@ select source_page page_number, 'cat' category_label, cast(c_nationkey as varcha
   'https://shop.example.com' || case when i = 2 then '/sspa/click' else '' end || '/' || source_page link,
   cast(4.5 as double) rating, i * 10 reviews, cast(null as varchar) bought_last_month,
   case when i <> 3 then 'EUR ' || c_acctbal end price_raw, case when i <> 3 then 'EUR' end currency,
-  c_acctbal extracted_price, '["a","b"]' delivery, i = 2 is_sponsored, '{RUN_AT}' extracted_at
+  c_acctbal extracted_price, '["a","b"]' delivery, i = 2 is_sponsored, '{RUN_AT}' extracted_at, source_page
 from pages0, unnest(range(1, n + 1)) as t(i)""",
     "ing2_flatten_offers": f"""with {_ING2}
 select {_ING2_COLUMNS}, 'cat-n1' category_label, 'n1' node_label, '{RUN_AT}' extracted_at, pricing_status, error_message

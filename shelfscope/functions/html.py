@@ -11,6 +11,17 @@ from pyspark.sql import functions as F
 
 from shelfscope.functions.text import decoded_entities, slug_title, stripped
 
+# The rest of a start tag: quoted values may hold ">"; a tag with a stray quote ends at its first ">".
+_REST = r"""(?:[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+|[^>]*)>"""
+
+_ATTRIBUTE = r"""[^\s=>]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
+
+
+def start_tag(name: str) -> str:
+    """Pattern of a start tag, to be used with the flags ``(?is)``."""
+    return rf"<{name}(?=[\s/>]){_REST}"
+
+
 _SCRIPT = r"<script\b[^>]*>.*?</script\s*>"
 _HIDDEN = rf"(?is)<!--.*?-->|{_SCRIPT}|<style\b[^>]*>.*?</style\s*>"
 
@@ -23,10 +34,17 @@ def visible(html: Column) -> Column:
 def raw_attribute(tag: Column, name: str) -> Column:
     """Value of an attribute in a start tag as written, '' where it is absent or blank.
 
-    Quoted values may hold anything but their quote; unquoted ones end at white space or ``>``.
+    Attributes are skipped one by one, so a name inside another attribute's value is not found. A tag
+    that cannot be read that way, for a stray quote, is searched as plain text.
     """
-    pattern = rf"""(?is)^<[a-z][^>]*?\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    return F.regexp_replace(F.regexp_extract(tag, pattern, 1), r"""^["']|["']$""", "")
+    value = rf"""\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    other = rf"\s++(?!{name}\s*=){_ATTRIBUTE}"
+    read = F.regexp_extract(tag, rf"(?is)^<[a-z][^\s>]*+(?:{other})*+\s*?{value}", 1)
+    well_formed = tag.rlike(rf"(?is)^<[a-z][^\s>]*+(?:\s++{_ATTRIBUTE})*+\s*+/?>")
+    found = F.when((read != "") | well_formed, read).otherwise(
+        F.regexp_extract(tag, rf"(?is)^<[a-z][^>]*?{value}", 1)
+    )
+    return F.regexp_replace(found, r"""^["']|["']$""", "")
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -44,7 +62,7 @@ def inner_text(markup: Column) -> Column:
 
 
 def _anchor_tags(shown: Column) -> Column:
-    return F.regexp_extract_all(shown, F.lit(r"(?is)<a\s[^>]*>.*?(?=</a\s*>|<a\s|$)"), 0)
+    return F.regexp_extract_all(shown, F.lit(rf"(?is){start_tag('a')}.*?(?=</a\s*>|<a\s|$)"), 0)
 
 
 def link_targets(shown: Column, prefix: str) -> Column:
@@ -62,7 +80,7 @@ def anchors(shown: Column, prefix: str) -> Column:
         _anchor_tags(shown),
         lambda t: F.struct(
             attribute(t, "href").alias("href"),
-            inner_text(F.regexp_replace(t, r"(?s)^<[^>]*>", "")).alias("text"),
+            inner_text(F.regexp_replace(t, "(?is)^" + start_tag("a"), "")).alias("text"),
         ),
     )
     return F.transform(
@@ -90,7 +108,7 @@ def ld_json_blocks(page: Column, keep_commented: bool = False) -> Column:
 
 def meta_tags(shown: Column) -> Column:
     """``array<struct<itemprop, property, content>>`` of the ``meta`` tags of a visible page."""
-    tags = F.regexp_extract_all(shown, F.lit(r"(?is)<meta\s[^>]*>"), 0)
+    tags = F.regexp_extract_all(shown, F.lit("(?is)" + start_tag("meta")), 0)
     return F.transform(
         tags, lambda t: F.struct(*[raw_attribute(t, a).alias(a) for a in ("itemprop", "property", "content")])
     )
@@ -104,7 +122,7 @@ def meta_content(metas: Column, attr: str, value: str) -> Column:
 
 def price_span(shown: Column) -> Column:
     """Text of the first ``span`` of a visible page whose ``data-automation-id`` mentions a price."""
-    spans = F.regexp_extract_all(shown, F.lit(r"(?is)<span\s[^>]*>.*?</span\s*>"), 0)
+    spans = F.regexp_extract_all(shown, F.lit(rf"(?is){start_tag('span')}.*?</span\s*>"), 0)
     first = F.get(
         F.filter(spans, lambda t: F.contains(raw_attribute(t, "data-automation-id"), F.lit("price"))),
         F.lit(0),

@@ -27,15 +27,18 @@ def flatten_search_pages(
     ``pages`` holds ``page_number`` (the index among fetched pages) and the payload text. Expansion
     stays within a row, so there is no shuffle.
     """
+    site_page = F.col("source_page") if "source_page" in pages.columns else F.lit(None).cast("int")
     rows = (
         pages.select(
             "page_number",
+            site_page.alias("source_page"),
             tag(category_label).alias("category_label"),
             tag(extracted_at).alias("extracted_at"),
             once(parsed(F.col(payload))).alias("v"),
         )
         .select(
             "page_number",
+            "source_page",
             "category_label",
             "extracted_at",
             get(F.col("v"), "$.search_parameters.node", "string").alias("node"),

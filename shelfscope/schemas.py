@@ -22,11 +22,13 @@ def _table(columns: str) -> StructType:
     pairs = (column.split() for column in columns.split(","))
     return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
 
-# Marketplace-1 search results, one row per listed product.
+# Marketplace-1 search results, one row per listed product. page_number counts the pages a run kept,
+# source_page is the site's own number.
 SEARCH_LISTING = _table(
     "page_number INT, category_label STRING, node STRING, position INT, asin STRING, title STRING,"
     " link STRING, rating DOUBLE, reviews BIGINT, bought_last_month STRING, price_raw STRING,"
-    " currency STRING, extracted_price DOUBLE, delivery STRING, is_sponsored BOOLEAN, extracted_at STRING"
+    " currency STRING, extracted_price DOUBLE, delivery STRING, is_sponsored BOOLEAN, extracted_at STRING,"
+    " source_page INT"
 )
 
 # Marketplace-1 offers, one row per offer and delivery option, or one status row per key.

@@ -47,6 +47,12 @@ class Tables:
     def active_listing(self) -> DataFrame:
         return active(self.spark.table(self.names.listing))
 
+    def register_views(self) -> None:
+        """Temporary views ``gold``, ``offers`` and ``active_listing`` for parameterised SQL."""
+        self.gold().createOrReplaceTempView("gold")
+        self.offers().createOrReplaceTempView("offers")
+        self.active_listing().createOrReplaceTempView("active_listing")
+
     def search_payloads(self) -> DataFrame:
         return self.spark.table(self.names.search_payloads)
 

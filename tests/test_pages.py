@@ -32,6 +32,21 @@ def test_links_of_a_page(spark):
     ]
 
 
+def test_quoted_values_may_hold_markup(spark):
+    html = """<a title="a > b" href="/p/gt/">1</a><a title=' href="/p/no/" ' href="/p/yes/">2</a>
+    <a data-x href=/p/bare/ >3</a><a title="it"s" href="/p/stray/">4</a><a href = '/p/spaced/'>5</a><abbr href="/p/abbr/">6</abbr>"""
+    out = page_links(spark.createDataFrame([(1, html)], "page_number int, html string"), BASE).orderBy("position").collect()
+    assert [(r["link"].rsplit("/", 2)[1], r["title"]) for r in out] == [("gt", "1"), ("yes", "2"), ("bare", "3"), ("stray", "4"), ("spaced", "5")]
+
+
+def test_long_tags_and_pages_are_read_whole(spark):
+    long_tag = '<a ' + " ".join(f'data-{i}="{"v" * 50}"' for i in range(400)) + ' href="/p/long/">long</a>'
+    many = "".join(f'<a href="/p/i{i}/">{i}</a>' for i in range(20000))
+    df = spark.createDataFrame([(1, long_tag + "x" * 500000 + many)], "page_number int, html string")
+    out = page_links(df, BASE)
+    assert out.count() == 20001 and out.where("title = 'long'").count() == 1
+
+
 def test_first_place_counts_across_pages(spark, rows):
     pages = spark.createDataFrame(
         [(2, '<a href="/p/a/">A2</a><a href="/p/c/">C</a>'), (1, '<a href="/p/b/">B</a><a href="/p/a/">A1</a>')], "page_number int, html string"

@@ -187,6 +187,8 @@ def test_stored_tables(spark):
     spark.range(2).createOrReplaceTempView("gold_now")
     tables = Tables(spark, TableNames(gold="gold_now", listing="listing_now"))
     assert tables.gold().count() == 2 and tables.active_listing().count() == 2
+    Tables(spark, TableNames(gold="gold_now", listing="listing_now", offers="gold_now")).register_views()
+    assert spark.sql("select count(*) as n from gold where id >= :low", args={"low": 1}).first()["n"] == 1
 
 
 def test_incremental_load_skips_what_it_has_seen(spark, tmp_path):
