@@ -175,22 +175,22 @@ def src4_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return column_scan(table(spark, sf_dir, "pages"), "url", "page_id % 2 = 0")
+    return column_scan(table(spark, sf_dir, "pages"), "url", "url like 'https:%'")
 
 
 def src7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolved(L.registry(spark, sf_dir)).select(
+    return resolved(L.supplier_registry(spark, sf_dir)).select(
         "source", "category_label", "node_label", "run_label", "domain", "max_pages", "start_page"
     )
 
 
 def jn6(spark: SparkSession, sf_dir: str) -> DataFrame:
     worklist = table(spark, sf_dir, "orders").selectExpr("o_orderkey as input_pos", "o_custkey as asin")
-    landed = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").selectExpr(
+    landed = table(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'").selectExpr(
         "c_custkey as asin", "c_name", "explode(array(1, 2, 3)) as landed_at"
     ).selectExpr(
         "asin", "landed_at",
-        """case when asin % 3 = 2 and asin % 5 = 0 and landed_at = 3 then null
+        """case when asin % 5 = 0 and landed_at = 3 then null
                 else concat('{"name":"', c_name, '","try":', landed_at, '}') end as payload""",
     )
     return attach_payloads(worklist, landed)
@@ -437,12 +437,13 @@ select * from t where "value" <> ''""",
     "src4_column_scan": """with v as (select distinct p_brand val from part where p_size > 10 order by 1 limit 12)
 select val from v where val is not null and val <> ''""",
     "src4_distinct_keys": """select distinct l_partkey val from lineitem where l_quantity > 5 and l_partkey <> 0""",
-    "src5_column_scan_all": "select url val from pages where page_id % 2 = 0 and url <> ''",
-    "src7_source_registry": f"""with {_REGISTRY}
+    "src5_column_scan_all": "select url val from pages where url like 'https:%' and url <> ''",
+    "src7_source_registry": f"""with suppliers as (select s_name n_name, s_suppkey n_nationkey, s_nationkey % 5 n_regionkey from supplier),
+{_REGISTRY.replace("from nation ", "from suppliers ")}
 select source, category_label, node_label, run_label, "domain", max_pages, start_page from registry""",
     "jn6_payload_lookup": """select o_orderkey input_pos, o_custkey asin,
-  case when c_custkey is null or c_custkey % 3 = 0 then '{"error":"Missing result"}'
-       when c_custkey % 3 = 2 and c_custkey % 5 = 0 then '{"error":"Empty payload"}'
+  case when c_custkey is null or c_mktsegment = 'MACHINERY' then '{"error":"Missing result"}'
+       when c_custkey % 5 = 0 then '{"error":"Empty payload"}'
        else '{"name":"' || c_name || '","try":3}' end payload
 from orders left join customer on o_custkey = c_custkey""",
     "set1_union_missing": """select p_partkey "key", p_name "name", cast(null as double) balance from part

@@ -162,9 +162,9 @@ def category_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as registered sources; a third of them are off or lack a setting."""
-    return table(spark, sf_dir, "nation").selectExpr(
+def _registered(named: DataFrame) -> DataFrame:
+    """Rows ``(n_name, n_nationkey, n_regionkey)`` as sources; some are off or lack a setting."""
+    return named.selectExpr(
         "n_name as name",
         "case when n_regionkey = 1 then 'x_product_details' else 'x_pricing' end as type",
         "case when n_nationkey % 5 = 4 then false when n_nationkey % 5 = 3 then null else true end as enabled",
@@ -174,3 +174,17 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
              'max_pages', cast(n_nationkey * 10 - 20 as string),
              'start_page', if(n_nationkey % 6 = 0, 'x', cast(n_nationkey - 3 as string))), (k, v) -> v is not null) as parameters""",
     )
+
+
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as registered sources of the payloads."""
+    return _registered(table(spark, sf_dir, "nation"))
+
+
+def supplier_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as registered sources."""
+    return _registered(
+        table(spark, sf_dir, "supplier").selectExpr(
+            "s_name as n_name", "s_suppkey as n_nationkey", "s_nationkey % 5 as n_regionkey"
+        )
+    )
