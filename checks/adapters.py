@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,7 +65,7 @@ def part_market(spark: SparkSession, sf_dir: str) -> Market:
         .select(
             F.col("l_partkey").cast("string").alias("asin"),
             day.alias("snapshot_date"),
-            F.col("l_shipdate").alias("extracted_at"),
+            day.cast("timestamp_ntz").alias("extracted_at"),
             F.col("s_name").alias("seller_name"),
             F.col("l_suppkey").alias("seller_id"),
             F.col("l_extendedprice").alias("total_price"),

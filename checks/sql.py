@@ -32,7 +32,7 @@ PART_AS_OF = "(select make_date(cast(year(max(l_shipdate)) as integer), 1, 1) fr
 
 PART_OFFERS = """offers as (
   select cast(l_partkey as varchar) asin, make_date(cast(year(l_shipdate) as integer), 1, 1) snapshot_date,
-         l_shipdate extracted_at, s_name seller_name, l_suppkey seller_id, l_extendedprice total_price,
+         make_date(cast(year(l_shipdate) as integer), 1, 1) extracted_at, s_name seller_name, l_suppkey seller_id, l_extendedprice total_price,
          l_quantity stock, p_type category_label
   from lineitem join supplier on l_suppkey = s_suppkey join part on l_partkey = p_partkey)"""
 

@@ -32,6 +32,18 @@ def looks_back(df: DataFrame, column: str, as_of: Column, days: int) -> Column:
     return F.col(column) >= F.date_sub(as_of, days).cast(df.schema[column].dataType)
 
 
+def recent_offers(offers: DataFrame, as_of: AsOf, days: int) -> DataFrame:
+    """Offers extracted on the last ``days`` days before ``as_of`` or on that day.
+
+    The day column, where there is one, prunes the partitions of a stored table; the bound on the
+    timestamp reaches the scan of a table without it.
+    """
+    by_day = "snapshot_date" in offers.columns
+    today = as_of_date(as_of, offers, "snapshot_date" if by_day else "extracted_at")
+    rows = offers.where(looks_back(offers, "extracted_at", today, days))
+    return rows.where(looks_back(offers, "snapshot_date", today, days)) if by_day else rows
+
+
 def iso_text(ts: Column) -> Column:
     """ISO-8601 text with microseconds and a numeric offset (``+00:00`` in a UTC session)."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")

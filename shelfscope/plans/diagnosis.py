@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfscope.functions import predicates as P
-from shelfscope.functions.dates import AsOf, as_of_date, looks_back
+from shelfscope.functions.dates import AsOf, recent_offers
 from shelfscope.functions.text import money
 from shelfscope.operators.dedupe import latest
 from shelfscope.plans.reports import HOLDER, recent
@@ -18,10 +18,7 @@ HEADROOM_FROM = 0.50
 
 
 def _my_offers(offers: DataFrame, seller: str, as_of: AsOf, days: int, asin: str | None) -> DataFrame:
-    today = as_of_date(as_of, offers, "extracted_at")
-    rows = offers.where(looks_back(offers, "extracted_at", today, days)).where(
-        P.same_seller(P.seller_key(offers, "seller_name"), seller)
-    )
+    rows = recent_offers(offers, as_of, days).where(P.same_seller(P.seller_key(offers, "seller_name"), seller))
     return rows if asin is None else rows.where(P.asin_is(asin))
 
 

@@ -8,16 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfscope.functions import predicates as P
-from shelfscope.functions.dates import AsOf, as_of_date, looks_back
+from shelfscope.functions.dates import AsOf, as_of_date, recent_offers
 from shelfscope.functions.text import stripped
 from shelfscope.plans.reports import HOLDER, competitor_history, current_owners, holder_changes, recent
 
 
-def _recent_offers(offers: DataFrame, as_of: AsOf, days: int) -> DataFrame:
-    today = as_of_date(as_of, offers, "extracted_at")
-    return offers.where(looks_back(offers, "extracted_at", today, days))
-
-
 def _seller(offers: DataFrame) -> Column:
     return P.seller_key(offers, "seller_name")
 
@@ -31,7 +26,7 @@ def price_dispersion(offers: DataFrame, as_of: AsOf = None, days: int = 30) -> D
     """
     group = ["category_label", "snapshot_date"]
     histogram = (
-        _recent_offers(offers, as_of, days)
+        recent_offers(offers, as_of, days)
         .where(F.col("total_price").isNotNull())
         .groupBy(*group, F.col("total_price").cast("double").alias("price"))
         .agg(F.count("*").alias("n"))
@@ -83,7 +78,7 @@ def competitor_moves(offers: DataFrame, seller: str, as_of: AsOf = None, days: i
     Offers are reduced to one row per product, seller and day first, so a window group is as long
     as the look-back at most.
     """
-    rows = _recent_offers(offers, as_of, days)
+    rows = recent_offers(offers, as_of, days)
     daily = daily_seller_prices(rows.where(P.other_seller(_seller(rows), seller)))
     by_day = Window.partitionBy("asin", "seller_key").orderBy("snapshot_date")
     return (
@@ -102,7 +97,7 @@ def assortment_gaps(
     gold: DataFrame, offers: DataFrame, seller: str, as_of: AsOf = None, days: int = 30
 ) -> DataFrame:
     """Products of the categories the seller is active in that the seller does not offer."""
-    rows = _recent_offers(offers, as_of, days)
+    rows = recent_offers(offers, as_of, days)
     mine = rows.where(P.same_seller(_seller(rows), seller))
     market = recent(gold, as_of, days).groupBy("category_label", "asin").agg(
         F.max("snapshot_date").alias("last_seen"), F.min("min_total_price").alias("lowest_price")
@@ -118,7 +113,7 @@ def undercutting(offers: DataFrame, seller: str, as_of: AsOf = None, days: int =
     The seller's side is one price per product and day, so each rival row meets one row at most:
     the result grows with the rivals' rows, not with pairs of offers.
     """
-    daily = daily_seller_prices(_recent_offers(offers, as_of, days))
+    daily = daily_seller_prices(recent_offers(offers, as_of, days))
     mine = daily.where(P.same_seller(F.col("seller_key"), seller)).select(
         "asin", "snapshot_date", F.col("price").alias("my_price")
     )
@@ -163,7 +158,7 @@ def lost_out_of_stock(
     gold: DataFrame, offers: DataFrame, seller: str, threshold: int = 5, as_of: AsOf = None, days: int = 14
 ) -> DataFrame:
     """Buy boxes lost on a day the seller had little or no stock; no offer that day counts as none."""
-    rows = _recent_offers(offers, as_of, days)
+    rows = recent_offers(offers, as_of, days)
     stock = (
         rows.where(P.same_seller(_seller(rows), seller))
         .groupBy("asin", "snapshot_date")
@@ -178,7 +173,7 @@ def lost_out_of_stock(
 
 def new_sellers(offers: DataFrame, seller: str, as_of: AsOf = None, days: int = 7) -> DataFrame:
     """Sellers first seen within the window on a product the seller offers."""
-    today = as_of_date(as_of, offers, "extracted_at")
+    today = as_of_date(as_of, offers)
     key = _seller(offers)
     firsts = offers.groupBy("asin", key.alias("seller_key")).agg(F.min("snapshot_date").alias("first_seen"))
     mine = offers.where(P.same_seller(key, seller)).select("asin").distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfscope.functions import predicates as P
-from shelfscope.functions.dates import AsOf, as_of_date, looks_back
+from shelfscope.functions.dates import AsOf, recent_offers
 from shelfscope.functions.text import percent
 from shelfscope.plans.reports import HOLDER, recent
 
@@ -17,9 +17,8 @@ HEALTHY_ABOVE = 70
 
 def portfolio_asins(offers: DataFrame, seller: str, as_of: AsOf = None, days: int = 30) -> DataFrame:
     """Products the seller offered in the window, each once."""
-    today = as_of_date(as_of, offers, "extracted_at")
     return (
-        offers.where(looks_back(offers, "extracted_at", today, days))
+        recent_offers(offers, as_of, days)
         .where(P.same_seller(P.seller_key(offers, "seller_name"), seller))
         .select("asin")
         .distinct()
