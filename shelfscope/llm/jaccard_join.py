@@ -9,8 +9,8 @@ indexed. Candidates are those that meet under a key and may be similar by their
 exceed the symmetric difference, and by the token sets themselves.
 
 Exact copies (equal token sets) are one class before the join. Candidates of a key are first its smallest document with all others; keys
-whose documents are then in one component are done, and in the others only pairs across components follow. So a group of many
-near copies costs a row per document and key, not a row per pair, and no link between different texts is lost.
+whose documents are then in one component are done, and in the others only pairs across components follow. Pairs without a common rare token share their frequent ones at
+most, which rules out most pairs of a group by their sizes. So a group of many near copies costs a row per document and key, not a row per pair, and no link between different texts is lost.
 
 NULL and empty texts, and texts without words, have no tokens and are linked with nothing. Shorter texts are one shingle. Rows that
 repeat a doc_id count as documents of their own text; a component joins all rows of an id. NULL ids are kept as rows and linked with nothing.
@@ -246,7 +246,7 @@ def _digest(tokens: np.ndarray) -> bytes:
 
 
 def indexed(docs: DataFrame, frequent: FrequentTokens) -> DataFrame:
-    """(doc_id, n, digest, rare_keys, pair_keys, bits) of every row; a narrow plan."""
+    """(doc_id, n, digest, rare_keys, pair_keys, common, bits) of every row; common: its frequent tokens; a narrow plan."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)  # at most twice MOST_FREQUENT codes
 
     def make():
@@ -262,17 +262,20 @@ def indexed(docs: DataFrame, frequent: FrequentTokens) -> DataFrame:
                 digest=pa.array([_digest(s) for s in sets], pa.binary()),
                 rare_keys=_lists([k for k, _ in keys]),
                 pair_keys=_lists([k for _, k in keys]),
+                common=pa.array([int(f.sum()) for f in flags], pa.int64()),
                 bits=pa.array([bitmap(s) for s in sets], pa.binary()),
             )
 
         return work
 
-    return over_texts(docs, make, out_schema(docs, "n long, digest binary, rare_keys array<long>, pair_keys array<long>, bits binary"))
+    return over_texts(docs, make, out_schema(docs, "n long, digest binary, rare_keys array<long>, pair_keys array<long>, common long, bits binary"))
 
 
 def _rare_members(entries: DataFrame) -> DataFrame:
     """Rows of keys that two or more documents share, with the key's first document, from (key, node, n).
 
+    ``most`` is what two documents that meet here may share at most: for a rare key, all tokens.
+
     A rare key has few documents, so keys are dealt out evenly; each task reads its sorted rows as a stream.
     """
 
@@ -300,7 +303,8 @@ def _rare_members(entries: DataFrame) -> DataFrame:
             yield _member_batch(*(np.array([x]) for x in (*held, first[1], first[2])))
 
     dealt = entries.repartition("key").sortWithinPartitions("key", "node")
-    return dealt.mapInArrow(run, "key long, node long, n long, pivot long, pivot_n long")
+    found = dealt.mapInArrow(run, "key long, node long, n long, pivot long, pivot_n long")
+    return found.withColumn("most", F.col("n")).withColumn("pivot_most", F.col("pivot_n"))
 
 
 def _member_batch(*columns: np.ndarray) -> pa.RecordBatch:
@@ -308,13 +312,21 @@ def _member_batch(*columns: np.ndarray) -> pa.RecordBatch:
 
 
 def _pair_members(entries: DataFrame) -> DataFrame:
-    """The same for pair keys, which may hold any number of documents: grouped with partial sums, and joined."""
-    first = entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("c")).where("c > 1")
-    return entries.join(first, "key").select("key", "node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"))
+    """The same for pair keys, which may hold any number of documents: grouped with partial sums, and joined.
+
+    Documents that only meet here have no rare token in common, so they share their frequent ones at most. The first
+    document is the one with the fewest rare tokens: in a group of near copies, the text the others come from.
+    """
+    best = F.min(F.struct((F.col("n") - F.col("common")).alias("rare"), "node", "n", "common")).alias("p")
+    first = entries.groupBy("key").agg(best, F.count("*").alias("c")).where("c > 1")
+    return entries.join(first, "key").select(
+        "key", "node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("common").alias("most"), F.col("p.common").alias("pivot_most")
+    )
 
 
-def _sizes_fit(a: str, b: str):
-    return F.expr(f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})")
+def _may_fit(na: str, nb: str, most_a: str, most_b: str):
+    """Whether two documents of these sizes reach the threshold if they share as much as they may."""
+    return F.expr(f"100 * least({most_a}, {most_b}) >= {PERCENT} * ({na} + {nb} - least({most_a}, {most_b}))")
 
 
 def _verified(candidates: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -350,20 +362,21 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """All links (a, b) between classes that components need."""
 
     def entries(keys: str) -> DataFrame:
-        return classes.select(F.explode(F.array_distinct(keys)).alias("key"), "node", "n")
+        return classes.select(F.explode(F.array_distinct(keys)).alias("key"), "node", "n", "common")
 
-    members = stored(_rare_members(entries("rare_keys")).unionByName(_pair_members(entries("pair_keys"))), "jaccard-members")
-    stars = members.where("node <> pivot").where(_sizes_fit("n", "pivot_n"))
-    first = _verified(stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), classes, docs)
+    members = stored(_rare_members(entries("rare_keys").drop("common")).unionByName(_pair_members(entries("pair_keys"))), "jaccard-members")
+    stars = members.where("node <> pivot").where(_may_fit("n", "pivot_n", "most", "pivot_most"))
+    stars = stars.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+    first = _verified(stars, classes, docs)
     labels = components(members.select(F.col("node").alias("id")).distinct(), first, "jaccard-stars")
     # Keys whose documents are not yet one component: those outside the largest one meet the others.
     placed = stored(members.join(labels.withColumnRenamed("id", "node"), "node"), "jaccard-placed")
     shares = placed.groupBy("key", "label").agg(F.count("*").alias("c"))
     mixed = shares.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
     a = placed.join(mixed.select("key", "main"), "key").where("label <> main and node <> pivot")
-    a = a.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), "main")
-    b = placed.where("node <> pivot").select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    crossing = a.join(b, "key").where("la <> lb and (lb = main or a < b)").where(_sizes_fit("na", "nb"))
+    a = a.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("most").alias("ma"), "main")
+    b = placed.where("node <> pivot").select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("most").alias("mb"))
+    crossing = a.join(b, "key").where("la <> lb and (lb = main or a < b)").where(_may_fit("na", "nb", "ma", "mb"))
     ordered = crossing.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return first.unionByName(_verified(ordered, classes, docs))
 
@@ -413,7 +426,7 @@ def joined(docs: DataFrame) -> DataFrame:
     # Exact copies are one class with its smallest id; classes are numbered once and written down.
     smallest = usable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     chosen = usable.join(smallest, ["digest", "doc_id"], "left_semi")
-    once = chosen.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("doc_id", "n", "rare_keys", "pair_keys", "bits")))
+    once = chosen.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("doc_id", "n", "rare_keys", "pair_keys", "common", "bits")))
     classes = stored(once.withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
     labels = components(classes.select(F.col("node").alias("id")), _links(plain, classes), "jaccard")
     placed = classes.select("node", "digest", "doc_id").join(labels.withColumnRenamed("id", "node"), "node")
