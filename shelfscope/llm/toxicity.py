@@ -29,7 +29,7 @@ SAMPLE = 4000  # labelled documents learned from; the bound on what reaches the
 BUCKETS = 1 << 17
 ROUNDS = 25
 RATE = 0.4
-EVIDENCE = 25.0  # likelihood ratio that marks a word or prefix
+EVIDENCE = 40.0  # likelihood ratio that marks a word or prefix
 SMALLEST_PURITY = 0.9  # share of its contexts that lie in toxic documents
 RIDGE = 1e-3
 THRESHOLD = 0.7
