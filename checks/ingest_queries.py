@@ -28,7 +28,7 @@ from shelfscope.session import shared_folder
 from shelfscope.sources.jsonl import json_lines, read_jsonl, write_runs
 from shelfscope.sources.registry import resolved
 from shelfscope.sources.tables import active
-from shelfscope.streaming.bronze_stream import deduplicated, load_available
+from shelfscope.streaming.bronze_stream import deduplicated, load_available, load_new
 
 RUN_AT = "2024-01-31T07:00:00.000000+00:00"
 SHOP = "https://shop.example.com/list/"
@@ -238,7 +238,22 @@ def str1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def str1_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in two loads: the days of even number first, then all days again, so older rows arrive late."""
+    base = f"{shared_folder(spark)}/backfill-{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "events").selectExpr(
+        "cast(user_id as string) as asin", "event_type as seller_name", "cast(ts as date) as seen_on"
+    )
+    for part in (rows.where("day(seen_on) % 2 = 0"), rows):
+        part.write.mode("append").parquet(f"{base}/landed")
+        load_new(
+            spark.readStream.schema(rows.schema).parquet(f"{base}/landed"), f"{base}/table", f"{base}/checkpoint", ["asin", "seller_name"], "seen_on"
+        ).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{base}/table").select("asin", "seller_name", "seen_on")
+
+
 QUERIES = {
+    "str1_backfill": str1_backfill,
     "ing1_search_listing": ing1,
     "ing2_flatten_offers": ing2,
     "ing3_product_details": ing3,
@@ -453,5 +468,6 @@ union all select s_suppkey, null, s_acctbal from supplier""",
     "snk3_runs_round_trip": f"""with {_ING2}
 select {_ING2_COLUMNS}, 'cat' || length(source) category_label, 'n1' node_label, '{RUN_AT}' extracted_at, pricing_status, error_message
 from flat""",
+    "str1_backfill": """select distinct cast(user_id as varchar) asin, event_type seller_name, cast(ts as date) seen_on from events""",
     "str1_incremental_load": """select distinct cast(user_id as varchar) asin, event_type seller_name, cast(ts as date) seen_on from events""",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfscope.functions.html import anchors, visible
@@ -63,13 +63,17 @@ def list_links(
 ) -> DataFrame:
     """Each crawl's product links, each once at its first place, as listing rows.
 
-    A link present on every page is reduced inside the tasks first. The cap takes the first links in
-    page order.
+    A link present on every page is reduced inside the tasks first. The cap takes the first links of every
+    crawl in page order; the rank filter cuts crawls inside the tasks before they are shuffled.
     """
     links = page_links(pages, base_url, keys, prefix)
     once = first_seen(links, [*keys, "link"], [F.col("page_number"), F.col("position")])
     if max_products:
-        once = once.orderBy(*keys, "page_number", "position").limit(max_products)
+        if keys:
+            place = F.row_number().over(Window.partitionBy(*keys).orderBy("page_number", "position"))
+            once = once.withColumn("_place", place).where(F.col("_place") <= max_products).drop("_place")
+        else:
+            once = once.orderBy("page_number", "position").limit(max_products)
     return conform(
         once.select(
             "title",

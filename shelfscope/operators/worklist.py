@@ -21,14 +21,16 @@ def usable_lines(lines: Column) -> Column:
 def read_lines(spark: SparkSession, path: str, max_items: int | None = None) -> DataFrame:
     """``(pos, value)``: trimmed non-blank lines of text files on any Hadoop file system.
 
-    ``pos`` grows in file order; the cap counts lines after blanks are dropped, 0 or None is no cap.
+    ``pos`` grows with the file's name and the line's place in it, however Spark deals the files out: lines are
+    sorted by both, and numbered in that order. The cap counts lines after blanks are dropped, 0 or None is no cap.
     """
-    lines = (
-        spark.read.text(path)
-        .select(F.monotonically_increasing_id().alias("pos"), stripped(F.col("value")).alias("value"))
-        .where("value <> ''")
+    place = ("_metadata.file_path", "_metadata.file_block_start")
+    lines = spark.read.text(path).select(
+        *(F.col(c).alias(f"_{i}") for i, c in enumerate(place)), F.monotonically_increasing_id().alias("_2"), stripped(F.col("value")).alias("value")
     )
-    return lines.orderBy("pos").limit(max_items) if max_items else lines
+    lines = lines.where("value <> ''").orderBy("_0", "_1", "_2")
+    lines = lines.limit(max_items) if max_items else lines
+    return lines.select(F.monotonically_increasing_id().alias("pos"), "value")
 
 
 def column_scan(

@@ -13,16 +13,23 @@ from shelfscope.schemas import GOLD_SNAPSHOT, conform
 
 # Fixed value: sellers whose name starts like this are the marketplace itself.
 MARKETPLACE_SELLER = "amazon"
+# Rank by the newest extraction first; an offer table may hold several of a day.
+NEWEST = "newest"
 
 
 def offers_by_day(offers: DataFrame, rank_by: Sequence[str]) -> DataFrame:
     """Per product and day: the best-ranked offer, the lowest price and the number of sellers.
 
+    The rank ends with everything that is picked by it, so offers that tie agree in all picked columns, and
+    reading one column gives the same offer as reading all.
+
     Everything is a plain aggregate, combined inside the tasks before the shuffle, so a product with
     a large share of all offers does not land in one task. One aggregate per column lets Catalyst
     drop those a report does not read.
     """
-    best = F.struct(*[F.col(c) for c in rank_by])
+    ties = ("total_price", "seller_id", "seller_name", "condition", "stock")
+    rest = [c for c in ties if c in offers.columns and c not in rank_by]
+    best = F.struct(*[-F.unix_micros("extracted_at") if c == NEWEST else F.col(c) for c in (*rank_by, *rest)])
     stock = F.col("stock") if "stock" in offers.columns else F.lit(None).cast("string")
     return offers.groupBy("asin", "snapshot_date").agg(
         F.min("category_label").alias("category_label"),
@@ -87,7 +94,7 @@ def _snapshot(df: DataFrame, price: Column, seller: Column, stock: Column, categ
 def daily_snapshot(
     offers: DataFrame,
     details: DataFrame | None = None,
-    rank_by: Sequence[str] = ("offer_position", "total_price"),
+    rank_by: Sequence[str] = (NEWEST, "offer_position", "total_price"),
     house: str = MARKETPLACE_SELLER,
 ) -> DataFrame:
     """The gold table.

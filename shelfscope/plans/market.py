@@ -175,13 +175,11 @@ def new_sellers(offers: DataFrame, seller: str, as_of: AsOf = None, days: int =
     """Sellers first seen within the window on a product the seller offers."""
     today = as_of_date(as_of, offers)
     key = _seller(offers)
-    firsts = offers.groupBy("asin", key.alias("seller_key")).agg(F.min("snapshot_date").alias("first_seen"))
     mine = offers.where(P.same_seller(key, seller)).select("asin").distinct()
-    return (
-        firsts.where(P.other_seller(F.col("seller_key"), seller))
-        .where(F.col("first_seen") >= F.date_sub(today, days))
-        .join(mine, "asin", "left_semi")
-    )
+    # Products are cut before the history is grouped: the filter on first_seen would keep the join above it.
+    theirs = offers.where(P.other_seller(key, seller)).join(mine, "asin", "left_semi")
+    firsts = theirs.groupBy("asin", key.alias("seller_key")).agg(F.min("snapshot_date").alias("first_seen"))
+    return firsts.where(F.col("first_seen") >= F.date_sub(today, days))
 
 
 def main_competitors(

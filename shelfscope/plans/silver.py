@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,10 @@ def _plain_label() -> Column:
     ).otherwise(F.col("category_label"))
 
 
+# One offer of one extraction.
+OFFER_KEYS = ("asin", "extracted_at", "offer_position")
+
+
 def flat_offers(offer_rows: DataFrame) -> DataFrame:
     """One row per offer and extraction, with its total price.
 
@@ -45,7 +50,7 @@ def flat_offers(offer_rows: DataFrame) -> DataFrame:
         ),
         SILVER_OFFERS,
     )
-    return first_seen(rows, ["asin", "extracted_at", "offer_position"], [F.col("total_price")])
+    return first_seen(rows, OFFER_KEYS, [F.col("total_price")])
 
 
 def current_listing(listing_rows: DataFrame, scope: Sequence[str] = ("category_label", "node")) -> DataFrame:
@@ -77,10 +82,27 @@ def current_listing(listing_rows: DataFrame, scope: Sequence[str] = ("category_l
     )
 
 
+def _stored_days(offers: DataFrame, path: str) -> DataFrame | None:
+    """What the table holds for the days of ``offers``; None before the first load."""
+    try:
+        stored = offers.sparkSession.read.schema(offers.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return stored.join(offers.select("snapshot_date").distinct(), "snapshot_date", "left_semi").select(*offers.columns)
+
+
 def write_offers(offers: DataFrame, path: str) -> None:
-    """Write silver offers partitioned by day and sorted by product; only the days present are replaced."""
+    """Add silver offers to the table, partitioned by day and sorted by product.
+
+    The days present are written anew with what they held before: a second load of a day adds to the first,
+    and a load that is repeated changes nothing. Other days are not read.
+    """
+    stored = _stored_days(offers, path)
+    whole = offers if stored is None else first_seen(stored.unionByName(offers), OFFER_KEYS, [F.col("total_price")])
     (
-        offers.hint("rebalance", "snapshot_date")
+        whole.hint("rebalance", "snapshot_date")
         .sortWithinPartitions("snapshot_date", "asin")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -67,14 +67,15 @@ def write_run(
 def write_runs(df: DataFrame, base: str, label: Tag, node: Tag, run_at: Column, strict: bool = False) -> None:
     """Write rows of many sources in one job, as ``run_label=.../run_stamp=...`` folders.
 
-    A source without rows gets no folder. The rebalance hint lets AQE split the folder of a source
+    A run that is written again replaces its own folders and no others. A source without rows gets no folder. The rebalance hint lets AQE split the folder of a source
     that holds most rows over several tasks.
     """
     flat = variants_to_json(without_nan(df) if strict else df)
     (
         flat.withColumns({"run_label": label_with_node(tag(label), tag(node)), "run_stamp": run_stamp(run_at)})
         .hint("rebalance", "run_label")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_label", "run_stamp")
         .option("ignoreNullFields", "false")
         .json(base)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from shelfscope.functions.text import label_with_node
+from shelfscope.functions.text import label_with_node, stripped
 from shelfscope.operators.page_window import first_page, page_budget
 from shelfscope.schemas import REGISTRY
 
@@ -19,8 +20,16 @@ class SourceDisabled(LookupError):
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """Registry from JSON (an array or one object per line) with a fixed schema."""
-    return spark.read.schema(REGISTRY).option("multiLine", "true").json(path)
+    """Registry from JSON (an array, one object per line, or one object) with a fixed schema."""
+    files = spark.read.text(path, wholetext=True).select(stripped(F.col("value")).alias("v"))
+    lines = F.filter(F.transform(F.split("v", "\r?\n"), stripped), lambda x: x != "")
+    one_each = F.forall(lines, lambda x: x.startswith("{") & x.endswith("}"))
+    entries = (
+        F.when(F.col("v").startswith("["), F.from_json("v", ArrayType(REGISTRY)))
+        .when(one_each, F.transform(lines, lambda x: F.from_json(x, REGISTRY)))
+        .otherwise(F.array(F.from_json("v", REGISTRY)))
+    )
+    return files.select(F.inline(entries))
 
 
 def _yaml_text(value) -> str:

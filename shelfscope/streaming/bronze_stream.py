@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,7 +26,8 @@ def stream_jsonl(spark: SparkSession, path: str, schema: StructType, files_per_t
 def deduplicated(stream: DataFrame, keys: Sequence[str], at: str, delay: str = "1 day") -> DataFrame:
     """Rows whose keys were not seen within ``delay`` of event time; older state is dropped.
 
-    A landed file may be loaded again, and its rows are told by their keys.
+    Rows older than ``delay`` are dropped with it, so this is for feeds that only grow at their end. ``load_new``
+    takes rows of any age.
     """
     return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(keys))
 
@@ -50,6 +52,30 @@ def load_available(
     return query.start()
 
 
+def load_new(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], day: str) -> StreamingQuery:
+    """Append the rows whose keys the table does not hold yet, whatever their age, and stop.
+
+    Rows are compared with the stored rows of their own days only (``day`` partitions the table and belongs to the
+    keys' identity), so a backfill reads the days it touches. A load that is interrupted and repeated finds its rows
+    stored and adds none twice.
+    """
+
+    def add(batch: DataFrame, _: int) -> None:
+        fresh = batch.dropDuplicates([*keys, day])
+        try:
+            stored = batch.sparkSession.read.schema(batch.schema).parquet(target)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            same = [fresh[c].eqNullSafe(stored[c]) for c in (*keys, day)]
+            fresh = fresh.join(stored, same, "left_anti")
+        fresh.write.mode("append").partitionBy(day).parquet(target)
+
+    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
 def with_event_time(stream: DataFrame, column: str = "extracted_at", name: str = "extracted_ts") -> DataFrame:
     """Adds the ISO text of ``column`` as a timestamp to watermark on."""
     return stream.withColumn(name, F.col(column).try_cast("timestamp"))
