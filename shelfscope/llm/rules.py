@@ -191,11 +191,12 @@ def learn(rows: DataFrame) -> list[Rule]:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> list[Rule]:
     chosen = labelled_sample(docs, labels, label, F.lit(True), sample)
-    known = statistics(chosen).join(chosen.select("doc_id", "label").distinct(), "doc_id")
+    # Written before any condition on them: a filter would be moved below and compute the counts again.
+    known = stored(statistics(chosen), "rule-statistics").join(chosen.select("doc_id", "label").distinct(), "doc_id")
     rows = known.where(f"not {BASE_FAILED}").select(
         *FEATURES, (F.col("label") == 0).alias("bad"), (F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(3)) > 0).alias("growing")
     )
-    return learn(stored(rows, "rule-statistics"))
+    return learn(stored(rows, "rule-labels"))
 
 
 def verdict(rules: list[Rule]) -> Column:
