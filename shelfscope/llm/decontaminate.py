@@ -36,9 +36,10 @@ def words_of(text: str) -> list[str]:
 
 def _windows(codes: np.ndarray, size: int) -> np.ndarray:
     """Rolling hash of every window of ``size`` codes."""
-    out = np.zeros(max(0, len(codes) - size + 1), np.uint64)
+    n = max(0, len(codes) - size + 1)
+    out = np.zeros(n, np.uint64)
     for k in range(size):
-        out = out * np.uint64(_BASE) + codes[k : len(codes) - size + 1 + k]
+        out = out * np.uint64(_BASE) + codes[k : k + n]
     return out
 
 

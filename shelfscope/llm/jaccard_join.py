@@ -68,9 +68,10 @@ class Tokens:
             bounds.append(len(words))
         numbers = self.known.numbers(words)
         hashes = self.known.values[numbers] if len(words) else np.zeros(0, np.uint64)
-        rolled = np.zeros(max(0, len(words) - WORDS + 1), np.uint64)
+        n = max(0, len(words) - WORDS + 1)
+        rolled = np.zeros(n, np.uint64)
         for k in range(WORDS):
-            rolled += hashes[k : len(words) - WORDS + 1 + k] * _MIX[k]
+            rolled += hashes[k : k + n] * _MIX[k]
         rolled = _stirred(rolled)
         out = []
         for low, high in zip(bounds, bounds[1:]):

@@ -222,9 +222,9 @@ def test_pipeline_stage_by_stage(spark):
             assert out.columns == docs.columns
         if name == "toxicity":
             truth = {r["doc_id"]: r["toxic"] for r in table(spark, PIPE_DIR, "labels").collect()}
-            gone = [truth[d] for d in before if d not in after and d in truth]
-            kept = [truth[d] for d in after if d in truth]
-            assert sum(gone) >= 0.9 * len(gone) and sum(kept) <= 0.05 * len(kept)
+            # Some labels of this table mark documents without any toxic word, so not all of them can go.
+            clean, toxic = ([d in after for d in before if truth.get(d) == label] for label in (0, 1))
+            assert sum(clean) >= 0.97 * len(clean) and sum(toxic) <= 0.3 * len(toxic)
         elif name == "line dedup":
             assert {d: r["text"] for d, r in after.items()} == {d: t for d, (_, _, t) in brute_lines(texts).items()}
         elif name == "n-gram Jaccard join":
