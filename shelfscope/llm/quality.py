@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 
 from shelfscope.llm.common import WordTable, batch_of, labelled_sample, out_schema, over_texts, segment_sums, split_all, substring_codes, worker_table
 
-SAMPLE = 4000  # labelled documents learned from; the bound on what reaches the driver
+SAMPLE = 2500  # labelled documents learned from; the bound on what reaches the driver
 BUCKETS = 1 << 16
 WIDTH = 8
 SHORTEST, LONGEST = 1, 4
@@ -45,9 +45,13 @@ class QualityModel:
 
 def _features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the words and their n-grams, and the word each belongs to."""
-    bucket, owner = substring_codes(words, SHORTEST, LONGEST, BUCKETS // 2)
-    whole = np.fromiter((_hash(w) for w in words), np.int64, len(words))
-    return np.concatenate([bucket, whole]), np.concatenate([owner, np.arange(len(words))])
+    buckets, owners = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for at in range(0, len(words), 40_000):  # bounds the memory of the n-grams
+        some = words[at : at + 40_000]
+        bucket, owner = substring_codes(some, SHORTEST, LONGEST, BUCKETS // 2)
+        buckets += [bucket.astype(np.int32), np.fromiter(map(_hash, some), np.int32, len(some))]
+        owners += [(owner + at).astype(np.int32), np.arange(at, at + len(some), dtype=np.int32)]
+    return np.concatenate(buckets), np.concatenate(owners)
 
 
 def _hash(word: str) -> int:

@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,8 +26,9 @@ from pyspark.sql import Column, DataFrame
 
 from shelfscope.llm.common import WordTable, batch_of, labelled_sample, out_schema, over_texts, pieces, segment_max, segment_sums, split_all, worker_table
 
-SAMPLE = 4000  # labelled documents learned from; the bound on what reaches the driver
+SAMPLE = 3000  # labelled documents learned from; the bound on what reaches the driver
 BUCKETS = 1 << 17
+MARK_BUCKETS = 1 << 22  # for counting words and prefixes by hash
 ROUNDS = 25
 RATE = 0.4
 EVIDENCE = 40.0  # likelihood ratio that marks a word or prefix
@@ -54,12 +56,13 @@ def _bucket(name: str) -> int:
 
 
 def _features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    buckets, owners = [], []
-    for i, word in enumerate(words):
-        mine = [_bucket(p) for p in _parts(word)]
-        buckets += mine
-        owners += [i] * len(mine)
-    return np.array(buckets, np.int64), np.array(owners, np.int64)
+    buckets, sizes = array("i"), array("i")
+    for word in words:
+        mine = _parts(word)
+        buckets.extend(map(_bucket, mine))
+        sizes.append(len(mine))
+    owners = np.repeat(np.arange(len(words), dtype=np.int32), np.array(sizes, np.int32))
+    return np.array(buckets, np.int32), owners
 
 
 def marginals(toxic: np.ndarray, bounds: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,29 +191,29 @@ def marked_words(words: list[str], docs: list[np.ndarray], truth: np.ndarray) ->
 
     Evidence is counted in distinct contexts (the word with its neighbours), so copies of a document count once.
     """
-    names: dict[str, int] = {}
-    part, owner = [], []
-    for i, word in enumerate(words):
-        mine = [names.setdefault("w" + word, len(names))]
-        mine += [names.setdefault("p" + word[:n], len(names)) for n in (4, 5, 6) if len(word) >= n]
-        part += mine
-        owner += [i] * len(mine)
-    part, owner = np.array(part), np.array(owner)
-    pairs = []
+    part, sizes = array("i"), array("i")
+    for word in words:
+        mine = ["w" + word, *("p" + word[:n] for n in (4, 5, 6) if len(word) >= n)]
+        part.extend(zlib.crc32(x.encode("utf-8", "surrogatepass")) % MARK_BUCKETS for x in mine)
+        sizes.append(len(mine))
+    part = np.array(part, np.int32)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), np.array(sizes, np.int32))
+    contexts = []
     for mine, label in zip(docs, truth):
         if len(mine):
-            edge = np.concatenate([[-1], mine, [-1]]) + 1
-            mixed = edge[:-2] * np.int64(0x9E3779B1) + edge[2:]
-            pairs.append(np.stack([mine, mixed, np.full(len(mine), label)], 1))
-    table = np.concatenate(pairs)
-    table = table[np.lexsort((-table[:, 2], table[:, 1], table[:, 0]))]
-    fresh = np.ones(len(table), bool)
-    fresh[1:] = (table[1:, :2] != table[:-1, :2]).any(1)
-    table = table[fresh]
-    seen = np.bincount(table[:, 0], minlength=len(words))
-    bad = np.bincount(table[:, 0], table[:, 2], len(words))
+            edge = (np.concatenate([[-1], mine, [-1]]) + 1).astype(np.uint64)
+            mixed = (edge[:-2] * np.uint64(0x9E3779B1) + edge[2:]) * np.uint64(0xC2B2AE3D27D4EB4F) + edge[1:-1]
+            # The last bit says clean, so of equal contexts a toxic one sorts first.
+            contexts.append(((mixed * np.uint64(0x9E3779B97F4A7C15)) & ~np.uint64(1)) | np.uint64(label == 0))
+    tokens, contexts = np.concatenate(docs), np.concatenate(contexts)
+    by = np.argsort(contexts, kind="stable")
+    fresh = np.ones(len(by), bool)
+    fresh[1:] = (contexts[by[1:]] >> np.uint64(1)) != (contexts[by[:-1]] >> np.uint64(1))
+    by = by[fresh]
+    seen = np.bincount(tokens[by], minlength=len(words))
+    bad = np.bincount(tokens[by], (contexts[by] & np.uint64(1)) == 0, len(words))
     toxic, total = int(bad.sum()), int(seen.sum())
-    seen, bad = np.bincount(part, seen[owner], len(names)), np.bincount(part, bad[owner], len(names))
+    seen, bad = np.bincount(part, seen[owner], MARK_BUCKETS), np.bincount(part, bad[owner], MARK_BUCKETS)
     strong = (_ratio(bad, np.maximum(seen, 1), toxic, total) >= EVIDENCE) & (bad >= SMALLEST_PURITY * seen)
     return np.bincount(owner, strong[part], len(words)) > 0
 
