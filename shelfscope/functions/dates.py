@@ -14,7 +14,7 @@ def as_of_date(as_of: AsOf, df: DataFrame, column: str = "snapshot_date") -> Col
     """The report's "today": the given date, or the newest date in ``df``.
 
     The default is a scalar subquery, so nothing runs while the plan is built, and over a table
-    partitioned by date it reads partition values only.
+    partitioned by date it still opens the footer of each file; pass the catalog's newest day to avoid that.
     """
     if as_of is None:
         return df.select(F.max(F.to_date(F.col(column)))).scalar()

@@ -218,6 +218,6 @@ def test_desk_gives_every_report(spark):
     ]
     assert counts == [2, 2, 1, 1, 3, 2, 2, 1, 2, 1, 1]
     lines = [r["line"] for r in desk.competitor_landscape("me", ["b"]).orderBy("part", "pos").collect()]
-    assert lines[1] == lines[3] == "No data found for the requested filters."
+    assert lines[1] == lines[3] == "The report has no rows."
     lines = [r["line"] for r in desk.competitor_landscape("me").orderBy("part", "pos").collect()]
     assert lines[2] == "x,1,10.0" and lines[5] == "x,1,10.0"
