@@ -55,6 +55,12 @@ def doc6_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.lost_out_of_stock(m.gold, m.offers, SELLER, 20, m.as_of)
 
 
+def doc6_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offers as the silver table has them, without stock."""
+    m = event_market(spark, sf_dir, 14)
+    return M.lost_out_of_stock(m.gold, m.offers.drop("stock"), SELLER, 20, m.as_of)
+
+
 def doc7(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = event_market(spark, sf_dir)
     return M.new_sellers(m.offers, SELLER, m.as_of, 25)
@@ -70,12 +76,16 @@ def doc9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(M.rivals_and_shadows(m.gold, SELLER, m.as_of), "avg_winning_price")
 
 
-def doc10(spark: SparkSession, sf_dir: str) -> DataFrame:
+def doc10(spark: SparkSession, sf_dir: str, limit: int | None = 3) -> DataFrame:
     m = event_market(spark, sf_dir, 14)
     placed = L.search_pages(spark, sf_dir).select(
         (F.col("source_page") % 150).cast("string").alias("asin"), (F.col("source_page") % 97).alias("position")
     )
-    return M.top_risks(m.gold, placed, SELLER, m.as_of, 14)
+    return M.top_risks(m.gold, placed, SELLER, m.as_of, 14, limit=limit)
+
+
+def doc10_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doc10(spark, sf_dir, None)
 
 
 def doc11(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,10 +102,12 @@ QUERIES = {
     "doc5_category_price_drops": doc5,
     "doc6_low_stock": doc6_low,
     "doc6_lost_out_of_stock": doc6_lost,
+    "doc6_lost_after_low_stock": doc6_held,
     "doc7_new_sellers": doc7,
     "doc8_main_competitors": doc8,
     "doc9_rivals_and_shadows": doc9,
     "doc10_top_risks": doc10,
+    "doc10_top_risks_all": doc10_all,
     "doc11_review_summary": doc11,
 }
 
@@ -135,6 +147,11 @@ select category_label, snapshot_date, round(a, 6) avg_price, products, round(p,
   round((p - a) / p * 100, 6) drop_pct from l where a < p""",
     "doc6_low_stock": f"""with {GOLD} select snapshot_date, asin, buybox_seller_name, buybox_stock from gold
 where {since(14)} and lower(buybox_seller_name) = {ME} and buybox_stock <= 20""",
+    "doc6_lost_after_low_stock": f"""with {GOLD}, {_LOSSES},
+s as (select l.asin, l.snapshot_date, arg_max(try_cast(g.buybox_stock as integer), g.snapshot_date) my_stock
+  from losses l join gold g on g.asin = l.asin and g.snapshot_date < l.snapshot_date
+  where g.{since(14)} and lower(g.buybox_seller_name) = {ME} and g.buybox_stock is not null group by all)
+select l.*, my_stock from losses l join s on l.asin = s.asin and l.snapshot_date = s.snapshot_date where my_stock <= 20""",
     "doc6_lost_out_of_stock": f"""with {GOLD}, {_LOSSES},
 s as (select asin, snapshot_date, max(stock) my_stock from offers where {since(14)} and lower(seller_name) = {ME} group by 1, 2)
 select l.*, my_stock from losses l left join s on l.asin = s.asin and l.snapshot_date = s.snapshot_date
@@ -164,3 +181,4 @@ select l.*, "position" from losses l join placed p on l.asin = p.asin order by "
 select category_label, count(*) products, round(avg(rating), 6) avg_rating, cast(sum(reviews) as bigint) review_count,
   round(sum(rating * reviews) / sum(reviews), 6) weighted_rating from d group by 1""",
 }
+SQL["doc10_top_risks_all"] = SQL["doc10_top_risks"].rsplit(" limit ", 1)[0]

@@ -31,11 +31,11 @@ class SellerDesk:
     def stock_status(self, seller: str) -> DataFrame:
         return R.stock_status(self.gold, seller, self.as_of)
 
-    def buy_box_changes(self, seller: str, days: int = 2) -> DataFrame:
-        return R.buy_box_changes(self.gold, seller, days, self.as_of)
+    def buy_box_changes(self, seller: str, days: int = 2, limit: int | None = None) -> DataFrame:
+        return R.buy_box_changes(self.gold, seller, days, self.as_of, limit)
 
-    def general_data(self) -> DataFrame:
-        return R.general_data(self.gold, self.as_of)
+    def general_data(self, limit: int | None = None) -> DataFrame:
+        return R.general_data(self.gold, self.as_of, limit=limit)
 
     def product_performance(self, asin: str, seller: str) -> DataFrame:
         return product_performance(self.gold, self.offers, seller, asin, self.as_of)

@@ -47,11 +47,11 @@ def product_performance(
     asin: str | None = None,
     as_of: AsOf = None,
     days: int = 14,
-    limit: int | None = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
     """Snapshots against the seller's own lowest price at each extraction of the day.
 
-    For one product the newest 1000 rows are returned; without a product all of them, for all.
+    For one product the rows are sorted, newest first, and ``limit`` caps them where it is given.
     A day with several extractions gives several rows, a day without any gives one. The two cases
     are joined apart: an inner join can be split where one product and day has very many
     extractions, a left join from the snapshots cannot.
@@ -71,7 +71,7 @@ def product_performance(
     if asin is None:
         return out
     out = out.orderBy(F.col("snapshot_date").desc_nulls_last(), F.col("my_price").asc_nulls_last())
-    return out.limit(limit) if limit else out
+    return out if limit is None else out.limit(limit)
 
 
 def newest_performance(

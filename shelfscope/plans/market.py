@@ -157,7 +157,13 @@ def losses(gold: DataFrame, seller: str, as_of: AsOf = None, days: int = 14) ->
 def lost_out_of_stock(
     gold: DataFrame, offers: DataFrame, seller: str, threshold: int = 5, as_of: AsOf = None, days: int = 14
 ) -> DataFrame:
-    """Buy boxes lost on a day the seller had little or no stock; no offer that day counts as none."""
+    """Buy boxes lost on a day the seller had little or no stock; no offer that day counts as none.
+
+    Offers without a ``stock`` column, as in the silver table, leave the stock that the snapshots last stated while the
+    seller held the product; a loss before which none was stated as a number is not reported.
+    """
+    if "stock" not in offers.columns:
+        return _lost_after_low_stock(gold, seller, threshold, as_of, days)
     rows = recent_offers(offers, as_of, days)
     stock = (
         rows.where(P.same_seller(_seller(rows), seller))
@@ -171,6 +177,23 @@ def lost_out_of_stock(
     )
 
 
+def _lost_after_low_stock(gold: DataFrame, seller: str, threshold: int, as_of: AsOf, days: int) -> DataFrame:
+    """A product has one snapshot a day, so a loss meets as many rows as the look-back has days at most."""
+    rows = recent(gold, as_of, days)
+    held = rows.where(P.same_seller(P.seller_key(rows, HOLDER), seller)).select(
+        "asin", F.col("snapshot_date").alias("held_on"), F.col("buybox_stock").try_cast("int").alias("held_stock")
+    )
+    lost = losses(gold, seller, as_of, days)
+    stock = (
+        lost.select("asin", "snapshot_date")
+        .join(held.where("held_stock is not null"), "asin")
+        .where("held_on < snapshot_date")
+        .groupBy("asin", "snapshot_date")
+        .agg(F.max_by("held_stock", "held_on").alias("my_stock"))
+    )
+    return lost.join(stock.where(F.col("my_stock") <= threshold), ["asin", "snapshot_date"])
+
+
 def new_sellers(offers: DataFrame, seller: str, as_of: AsOf = None, days: int = 7) -> DataFrame:
     """Sellers first seen within the window on a product the seller offers."""
     today = as_of_date(as_of, offers)
@@ -229,18 +252,14 @@ def top_risks(
     as_of: AsOf = None,
     days: int = 2,
     position_below: int = 50,
-    limit: int = 3,
+    limit: int | None = None,
 ) -> DataFrame:
-    """The first few buy boxes lost on well-placed products, best position first."""
+    """Buy boxes lost on well-placed products, best position first; ``limit`` keeps the first few."""
     placed = listing.where(F.col("position") < position_below).groupBy("asin").agg(
         F.min("position").alias("position")
     )
-    return (
-        losses(gold, seller, as_of, days)
-        .join(placed, "asin")
-        .orderBy("position", F.col("snapshot_date").desc(), "asin")
-        .limit(limit)
-    )
+    risks = losses(gold, seller, as_of, days).join(placed, "asin").orderBy("position", F.col("snapshot_date").desc(), "asin")
+    return risks if limit is None else risks.limit(limit)
 
 
 def review_summary(details: DataFrame) -> DataFrame:

@@ -97,7 +97,8 @@ def test_main_competitor_ties_go_by_name(gold, rows):
 def test_top_risks_are_the_best_placed_losses(spark, gold, rows):
     lost = [e for a in "ABCDE" for e in ((1, a, "me", 1.0, 1), (0, a, "x", 1.0, 1))]
     placed = spark.createDataFrame([("A", 49), ("B", 50), ("C", 3), ("C", 9), ("D", 7), ("E", 8)], "asin string, position int")
-    assert [(r["asin"], r["position"]) for r in rows(M.top_risks(gold(*lost), placed, "me", TODAY))] == [("C", 3), ("D", 7), ("E", 8)]
+    assert [(r["asin"], r["position"]) for r in rows(M.top_risks(gold(*lost), placed, "me", TODAY, limit=3))] == [("C", 3), ("D", 7), ("E", 8)]
+    assert [r["asin"] for r in rows(M.top_risks(gold(*lost), placed, "me", TODAY))] == ["C", "D", "E", "A"]
 
 
 def test_stored_offers_are_pruned_by_day_and_pushed_by_seller(spark, offers, tmp_path):
@@ -116,3 +117,12 @@ def test_stored_offers_are_pruned_by_day_and_pushed_by_seller(spark, offers, tmp
     )
     assert "EqualTo(seller_key,me)" in scan and "GreaterThanOrEqual(extracted_at" in scan
     assert "PartitionFilters: [isnotnull(snapshot_date" in scan
+
+
+def test_out_of_stock_from_the_snapshots(gold, offers, rows):
+    g = gold(
+        (2, "A", "me", 1.0, "9"), (1, "A", "me", 1.0, "2"), (0, "A", "x", 1.0, "7"),
+        (1, "B", "me", 1.0, "50"), (0, "B", "x", 1.0, "1"), (1, "C", "me", 1.0, None), (0, "C", "x", 1.0, "1"),
+    )
+    o = offers((0, "A", "me", 1.0, 1)).drop("stock")
+    assert [(r["asin"], r["my_stock"]) for r in rows(M.lost_out_of_stock(g, o, "Me", as_of=TODAY))] == [("A", 2)]

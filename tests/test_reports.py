@@ -69,15 +69,16 @@ def test_changes_compare_with_the_previous_row_of_the_window(spark, rows):
 
 
 def test_change_window_is_held_between_1_and_30_days(spark, rows):
-    assert [R.clamped_days(n) for n in (-3, 0, 1, 14, 30, 31)] == [1, 1, 1, 14, 30, 30]
+    assert [R.at_least_a_day(n) for n in (-3, 0, 1, 14, 30, 31)] == [1, 1, 1, 14, 30, 31]
     g = gold(spark, (2, "A", "me"), (1, "A", "other"), (0, "A", "me"))
     assert len(rows(R.buy_box_changes(g, "me", 0, TODAY))) == 1
 
 
 def test_top_rows_break_ties_by_product(spark, rows):
     g = gold(spark, *[(0, f"P{i:03}", "x") for i in range(120)])
-    out = rows(R.general_data(g, TODAY))
-    assert [r["asin"] for r in out] == [f"P{i:03}" for i in range(100)]
+    for limit, n in ((100, 100), (None, 120)):
+        out = rows(R.general_data(g, TODAY, limit=limit))
+        assert [r["asin"] for r in out] == [f"P{i:03}" for i in range(n)]
 
 
 def test_owners_use_the_newest_date_of_the_whole_table(spark, rows):
@@ -194,7 +195,7 @@ def test_plans_prune_and_limit(spark, tmp_path):
     g = gold(spark, *[(n, f"P{n}", "me") for n in range(20)]).withColumn("buybox_seller_key", F.lower("buybox_seller_name"))
     write_snapshot(g, str(tmp_path / "gold"))
     stored = spark.read.parquet(str(tmp_path / "gold"))
-    plan = R.general_data(stored, TODAY)._jdf.queryExecution().executedPlan().toString()
+    plan = R.general_data(stored, TODAY, limit=100)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "PartitionFilters: [isnotnull(snapshot_date" in plan
     plan = R.stock_status(stored, "ME", TODAY)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(buybox_seller_key,me)" in plan
