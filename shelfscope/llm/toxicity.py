@@ -37,6 +37,7 @@ RIDGE = 1e-3
 THRESHOLD = 0.7
 SPAN_MARGINAL = 0.5
 BLOCK = 64
+LEARN_TOKENS = 100_000  # tokens whose marginals are held at a time while learning; one longer text is a part by itself
 _WORD = re.compile(r"\w+")
 
 
@@ -213,11 +214,27 @@ def marked_words(words: list[str], docs: list[np.ndarray], truth: np.ndarray) ->
     seen = np.bincount(tokens[by], minlength=len(words))
     bad = np.bincount(tokens[by], (contexts[by] & np.uint64(1)) == 0, len(words))
     toxic, total = int(bad.sum()), int(seen.sum())
-    seen, bad = np.bincount(part, seen[owner], MARK_BUCKETS), np.bincount(part, bad[owner], MARK_BUCKETS)
+    # Only buckets that occur are counted.
+    used, part = np.unique(part, return_inverse=True)
+    seen, bad = np.bincount(part, seen[owner], len(used)), np.bincount(part, bad[owner], len(used))
     strong = (_ratio(bad, np.maximum(seen, 1), toxic, total) >= EVIDENCE) & (bad >= SMALLEST_PURITY * seen)
     return np.bincount(owner, strong[part], len(words)) > 0
 
 
+def _tagged(model: ToxicModel, table: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of all texts, a few texts at a time; ``table`` has the three numbers of each distinct word."""
+    p, pairs = np.empty(len(tokens)), np.zeros((2, 2))
+    low = 0
+    while low < len(bounds) - 1:
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + LEARN_TOKENS, "right")) - 1)
+        a, b = bounds[low], bounds[high]
+        mine = bounds[low : high + 1] - a
+        p[a:b], some = marginals(model.emissions(table[tokens[a:b]], mine), mine, model.links)
+        pairs += some
+        low = high
+    return p, pairs
+
+
 class _Pace:
     """Steps along running means of the slopes, scaled by their running size."""
 
@@ -237,7 +254,7 @@ def fit(texts: list[str], labels: list[int]) -> ToxicModel:
     order = sorted(range(len(texts)), key=lambda i: (texts[i], labels[i]))
     truth = np.array([labels[i] for i in order], np.int64)
     numbers: dict[str, int] = {}
-    docs = [np.array([numbers.setdefault(w, len(numbers)) for w in words_of(texts[i])], np.int64) for i in order]
+    docs = [np.array([numbers.setdefault(w, len(numbers)) for w in words_of(texts[i])], np.int32) for i in order]
     words = list(numbers)
     zero = np.zeros(BUCKETS)
     none = ToxicModel(zero, zero, zero, np.zeros((2, 2)), 0.0, (-50.0, 0.0, 0.0))
@@ -262,7 +279,7 @@ def fit(texts: list[str], labels: list[int]) -> ToxicModel:
     for _ in range(ROUNDS):
         model = ToxicModel(*weights, links, bias, none.layer)
         table = np.stack([np.bincount(owner, w[bucket], len(words)) for w in weights], 1)
-        p, pairs = marginals(model.emissions(table[tokens], bounds), bounds, links)
+        p, pairs = _tagged(model, table, tokens, bounds)
         error = y - p
         at = np.zeros((3, len(words)))
         at[0] = np.bincount(tokens, error, len(words))
@@ -272,7 +289,7 @@ def fit(texts: list[str], labels: list[int]) -> ToxicModel:
         steps = pace.step(np.concatenate([slopes.ravel(), (seen_pairs - pairs).ravel(), [error.sum()]]))
         weights = weights + steps[: 3 * BUCKETS].reshape(3, BUCKETS)
         links, bias = links + 0.3 * steps[3 * BUCKETS : -1].reshape(2, 2), bias + 0.3 * steps[-1]
-    p, _ = marginals(model.emissions(table[tokens], bounds), bounds, model.links)
+    p, _ = _tagged(model, table, tokens, bounds)
     return ToxicModel(model.own, model.before, model.after, model.links, model.bias, _layer(_signs(p, bounds), truth))
 
 
