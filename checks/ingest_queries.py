@@ -15,7 +15,7 @@ from shelfscope.operators.detail_payloads import flatten_details
 from shelfscope.operators.links import list_links, page_links, until_first_failure
 from shelfscope.operators.lookups import lookup_status, request_urls, wrap_lookups
 from shelfscope.operators.offer_payloads import flatten_offers
-from shelfscope.operators.page_window import select_pages
+from shelfscope.operators.page_window import PAGE_CAP, all_pages, select_pages
 from shelfscope.operators.pagination import detect_pagination, page_plan
 from shelfscope.operators.product_page import product_pages
 from shelfscope.operators.search_listing import flatten_search_pages
@@ -108,18 +108,30 @@ def ing8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_pages(pages, ["source"], 40, 3).select("source", "source_page", "page_number")
 
 
+def ing8_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages of three large sources, up to the first good one without a next page."""
+    pages = L.search_pages(spark, sf_dir).drop("payload").withColumns(
+        {"source": F.concat(F.lit("S"), F.col("source_page") % 3), "has_next": F.col("source_page") % 5003 != 1304}
+    )
+    return all_pages(pages, ["source"]).select("source", "source_page", "page_number")
+
+
 def ing9_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = L.offer_payloads(spark, sf_dir).withColumn("extracted_at", F.lit(RUN_AT))
     rows = offers_of_sources(payloads, L.registry(spark, sf_dir))
     return status_counts(rows, "pricing_status", "category_label", "node_label")
 
 
-def ing9_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ing9_listings(spark: SparkSession, sf_dir: str, page_cap: int | None = PAGE_CAP) -> DataFrame:
     pages = L.search_pages(spark, sf_dir).drop("failed", "has_next").withColumn("extracted_at", F.lit(RUN_AT))
-    rows = listings_of_sources(pages, L.registry(spark, sf_dir))
+    rows = listings_of_sources(pages, L.registry(spark, sf_dir), page_cap)
     return rows.select("category_label", "node", "page_number", "position", "asin", "is_sponsored")
 
 
+def ing9_all_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ing9_listings(spark, sf_dir, None)
+
+
 def _offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ssXXX")
     payloads = L.offer_payloads(spark, sf_dir).withColumn(
@@ -265,8 +277,10 @@ QUERIES = {
     "ing6_page_fallback": ing6_pages,
     "ing7_pagination_plan": ing7,
     "ing8_page_window": ing8,
+    "ing8_all_pages": ing8_all,
     "ing9_offers_of_sources": ing9_offers,
     "ing9_listings_of_sources": ing9_listings,
+    "ing9_all_listings": ing9_all_listings,
     "ing10_silver_offers": silver_offers,
     "ing10_active_listing": silver_listing,
     "ing10_snapshot_with_details": gold_with_details,
@@ -414,6 +428,10 @@ select p_partkey, total_pages, offset_step, layout_hint, page_number,
     else '?o=' || ((page_number - 1) * offset_step) || coalesce('&l=' || layout_hint, '') end page_url
 from n""",
     "ing8_page_window": f"""with {_SEARCH}, {_WINDOW.format(pages='pages0', start=3, cap=40)}
+select source, source_page, page_number from kept""",
+    "ing8_all_pages": f"""with {_SEARCH},
+large as (select 'S' || source_page % 3 source, source_page, failed, source_page % 5003 <> 1304 has_next from pages0),
+{_WINDOW.format(pages='large', start=1, cap=2**31 - 1)}
 select source, source_page, page_number from kept""",
     "ing9_offers_of_sources": f"""with {_ING2}, {_REGISTRY}
 select run_label category_label, node_label, pricing_status, count(*) n_rows
@@ -421,6 +439,13 @@ from flat f join registry r on f.source = r.source group by 1, 2, 3""",
     "ing9_listings_of_sources": f"""with {_SEARCH}, {_REGISTRY},
 tagged as (select p.*, r.category_label, r.max_pages, r.start_page from pages0 p join registry r on p.source = r.source),
 {_WINDOW.format(pages='tagged', start='start_page', cap='least(max_pages, 100)')}
+select category_label, cast(c_nationkey as varchar) node, page_number, cast(i as integer) "position",
+  'B' || source_page || '_' || (i % 2) asin, i = 2 is_sponsored
+from kept, unnest(range(1, n + 1)) as t(i)""",
+    "ing9_all_listings": f"""with {_SEARCH}, {_REGISTRY},
+tagged as (select p.*, r.category_label, case when mp >= 1 then mp end max_pages, r.start_page
+  from pages0 p join registry r on p.source = r.source join reg0 on n_name = r.source),
+{_WINDOW.format(pages='tagged', start='start_page', cap=f'coalesce(max_pages, {2**31 - 1})')}
 select category_label, cast(c_nationkey as varchar) node, page_number, cast(i as integer) "position",
   'B' || source_page || '_' || (i % 2) asin, i = 2 is_sponsored
 from kept, unnest(range(1, n + 1)) as t(i)""",

@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 from shelfscope.operators.detail_payloads import flatten_details
 from shelfscope.operators.offer_payloads import flatten_offers
-from shelfscope.operators.page_window import page_flags, select_pages
+from shelfscope.operators.page_window import all_pages, page_flags
 from shelfscope.operators.search_listing import flatten_search_pages
 from shelfscope.sources.registry import resolved
 
 
-def tagged(payloads: DataFrame, registry: DataFrame) -> DataFrame:
+def tagged(payloads: DataFrame, registry: DataFrame, page_cap: int | None = None) -> DataFrame:
     """Payload rows of the enabled sources with the source's labels and limits.
 
     The registry is read from a config file, so its size is known to Spark, which decides by that
     size whether to broadcast it.
     """
-    limits = resolved(registry).select(
+    limits = resolved(registry, page_cap).select(
         "source", "category_label", "node_label", "run_label", "max_pages", "start_page"
     )
     return payloads.join(limits, "source")
@@ -38,10 +38,13 @@ def details_of_sources(payloads: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
-def listings_of_sources(pages: DataFrame, registry: DataFrame) -> DataFrame:
-    """``pages(source, source_page, payload, extracted_at)`` as listing rows within each source's limits."""
-    rows = page_flags(tagged(pages, registry))
-    kept = select_pages(rows, ["source", "extracted_at"], F.col("max_pages"), F.col("start_page"))
+def listings_of_sources(pages: DataFrame, registry: DataFrame, page_cap: int | None = None) -> DataFrame:
+    """``pages(source, source_page, payload, extracted_at)`` as listing rows within each source's limits.
+
+    All landed pages count unless the source sets ``max_pages`` or the caller a ``page_cap``.
+    """
+    rows = page_flags(tagged(pages, registry, page_cap))
+    kept = all_pages(rows, ["source", "extracted_at"], F.col("max_pages"), F.col("start_page"))
     return flatten_search_pages(kept, F.col("category_label"), F.col("extracted_at"))
 
 

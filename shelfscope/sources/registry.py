@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from shelfscope.functions.text import label_with_node, stripped
-from shelfscope.operators.page_window import first_page, page_budget
+from shelfscope.operators.page_window import PAGE_CAP, first_page, page_budget
 from shelfscope.schemas import REGISTRY
 
 
@@ -60,9 +60,10 @@ def parameter(name: str, default: str | None = None) -> Column:
     return F.coalesce(value, F.lit(default).cast("string"))
 
 
-def resolved(registry: DataFrame) -> DataFrame:
+def resolved(registry: DataFrame, page_cap: int | None = PAGE_CAP) -> DataFrame:
     """Enabled sources with their parameters typed and defaulted; ``enabled`` defaults to true.
 
+    ``max_pages`` is at most ``page_cap``; with None it is the budget as registered, and NULL means all pages.
     Product-detail sources prefer ``node`` over ``node_label``, the others the reverse.
     """
     on = F.coalesce("enabled", F.lit(True))
@@ -83,14 +84,14 @@ def resolved(registry: DataFrame) -> DataFrame:
             parameter("bq_where").alias("where"),
             (parameter("bq_distinct", "false") == "true").alias("distinct"),
             parameter("max_items").try_cast("int").alias("max_items"),
-            page_budget(parameter("max_pages").try_cast("int")).alias("max_pages"),
+            page_budget(parameter("max_pages").try_cast("int"), page_cap).alias("max_pages"),
             first_page(parameter("start_page")).alias("start_page"),
         )
         .withColumn("run_label", label_with_node(F.col("category_label"), F.col("node_label")))
     )
 
 
-def find_source(registry: DataFrame, name: str) -> dict:
+def find_source(registry: DataFrame, name: str, page_cap: int | None = PAGE_CAP) -> dict:
     """One source's resolved parameters. The registry is a small config table read by key."""
     hit = registry.where(F.col("name") == name).limit(1).collect()
     if not hit:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfscope.functions.html import visible
 from shelfscope.operators.dedupe import first_seen, latest
 from shelfscope.operators.links import list_links, page_links, until_first_failure
-from shelfscope.operators.page_window import page_flags, select_pages
+from shelfscope.operators.page_window import all_pages, page_flags, select_pages
 from shelfscope.operators.pagination import detect_pagination, offset_step, page_plan
 from shelfscope.operators.product_page import product_facts, product_pages
 from shelfscope.operators.search_listing import flatten_search_pages
@@ -158,6 +158,22 @@ def test_page_window(spark):
     assert len(window(spark, many, 500)) == 100
 
 
+def test_all_pages_of_a_source(spark):
+    def numbers(pages, *limits):
+        df = spark.createDataFrame([(None, *p) for p in pages], "source string, source_page int, failed boolean, has_next boolean")
+        return [(r["source_page"], r["page_number"]) for r in all_pages(df, ["source"], *limits).orderBy("source_page").collect()]
+
+    pages = [(i, i % 10 == 0, True) for i in range(1, 2501)]
+    good = [(p, n) for n, p in enumerate((i for i, failed, _ in pages if not failed), 1)]
+    assert numbers(pages) == numbers(pages, 0) == numbers(pages, -5) == good
+    assert numbers(pages, 1500) == [x for x in good if x[0] <= 1500]
+    assert numbers(pages, 1500, 901) == [(p, n - 810) for p, n in good if 901 <= p <= 2400]
+    ended = [(i, failed, i not in (1503, 2001)) for i, failed, _ in pages]
+    assert numbers(ended) == [x for x in good if x[0] <= 1503]
+    few = [(1, False, True), (2, True, False), (3, False, True), (4, False, False), (5, False, True)]
+    assert numbers(few) == [(1, 1), (3, 2), (4, 3)] and numbers(few, 2) == [(1, 1)]
+
+
 def test_flags_and_rows_of_search_pages(spark, rows):
     def product(**p):
         return p

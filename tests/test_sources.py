@@ -225,3 +225,15 @@ def test_newest_snapshot_comes_from_the_catalog(spark, tmp_path):
         assert Tables(spark, TableNames(gold="gold_days")).newest_snapshot() == dt.date(2024, 2, 2)
     finally:
         spark.sql("drop table gold_days")
+
+
+def test_listings_beyond_a_hundred_pages(spark):
+    entries = [("free", "listing", True, {}), ("set", "listing", True, {"max_pages": "250"})]
+    registry = spark.createDataFrame(entries, REGISTRY)
+    payload = json.dumps({"serpapi_pagination": {"next": "u"}, "organic_results": [{"asin": "A", "position": 1}]})
+    pages = spark.createDataFrame([(s, i, payload, "t") for s in ("free", "set") for i in range(1, 601)], "source string, source_page int, payload string, extracted_at string")
+
+    def counts(*cap):
+        return {r["category_label"]: r["count"] for r in listings_of_sources(pages, registry, *cap).groupBy("category_label").count().collect()}
+
+    assert counts() == {"free": 600, "set": 250} and counts(100) == {"free": 100, "set": 100}
