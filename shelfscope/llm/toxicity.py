@@ -1,7 +1,8 @@
 """Toxic spans and document scores by a linear-chain conditional random field.
 
 Tokens get labels from the labelled documents: a token is marked when its word or its prefix is tied to toxic
-documents beyond chance (a likelihood-ratio test). A two-label field (plain, toxic) over word, prefix,
+documents beyond chance (a likelihood-ratio test); in samples too small for that, the words best supported by
+several documents are. A two-label field (plain, toxic) over word, prefix,
 suffix, shape and neighbour features is trained on them by gradient ascent. Forward-backward marginals of every token of a whole
 text give its offending spans and, through a small calibrated layer, the document score.
 
@@ -190,7 +191,8 @@ def _ratio(with_toxic: np.ndarray, with_all: np.ndarray, toxic: int, total: int)
 def marked_words(words: list[str], docs: list[np.ndarray], truth: np.ndarray) -> np.ndarray:
     """Which distinct words are labelled toxic: they or one of their prefixes are tied to toxic documents.
 
-    Evidence is counted in distinct contexts (the word with its neighbours), so copies of a document count once.
+    Evidence is counted in distinct contexts (the word with its neighbours), so copies of a document count once. With few
+    labels nothing reaches EVIDENCE; then the words and prefixes with the largest ratio over documents are marked.
     """
     part, sizes = array("i"), array("i")
     for word in words:
@@ -211,16 +213,45 @@ def marked_words(words: list[str], docs: list[np.ndarray], truth: np.ndarray) ->
     fresh = np.ones(len(by), bool)
     fresh[1:] = (contexts[by[1:]] >> np.uint64(1)) != (contexts[by[:-1]] >> np.uint64(1))
     by = by[fresh]
+    kept = np.zeros(len(tokens), bool)
+    kept[by] = True
     seen = np.bincount(tokens[by], minlength=len(words))
     bad = np.bincount(tokens[by], (contexts[by] & np.uint64(1)) == 0, len(words))
     toxic, total = int(bad.sum()), int(seen.sum())
     # Only buckets that occur are counted.
     used, part = np.unique(part, return_inverse=True)
     seen, bad = np.bincount(part, seen[owner], len(used)), np.bincount(part, bad[owner], len(used))
-    strong = (_ratio(bad, np.maximum(seen, 1), toxic, total) >= EVIDENCE) & (bad >= SMALLEST_PURITY * seen)
+    pure = bad >= SMALLEST_PURITY * seen
+    strong = pure & (_ratio(bad, np.maximum(seen, 1), toxic, total) >= EVIDENCE)
+    if not strong.any():
+        strong = _best_supported(docs, kept, truth, part, owner, pure)
     return np.bincount(owner, strong[part], len(words)) > 0
 
 
+def _best_supported(docs: list[np.ndarray], kept: np.ndarray, truth: np.ndarray, part: np.ndarray, owner: np.ndarray, pure: np.ndarray) -> np.ndarray:
+    """Which pure buckets have the largest ratio over documents, of those in two toxic documents at least.
+
+    A document counts for the words that it has in a context of its own (``kept``): with few labels, a word that one
+    document repeats would outweigh one that several share.
+    """
+    starts = np.searchsorted(owner, np.arange(owner[-1] + 2))
+    seen, bad = np.zeros(len(pure), np.int64), np.zeros(len(pure), np.int64)
+    low = toxic = total = 0
+    for mine, label in zip(docs, truth):
+        own = np.unique(mine[kept[low : low + len(mine)]])
+        low += len(mine)
+        if len(own):
+            parts = np.unique(np.concatenate([part[starts[w] : starts[w + 1]] for w in own.tolist()]))
+            seen[parts] += 1
+            bad[parts] += label
+            total, toxic = total + 1, toxic + int(label)
+    able = pure & (bad >= 2) & (bad >= SMALLEST_PURITY * seen)
+    if not able.any():
+        return able
+    ratio = _ratio(bad, np.maximum(seen, 1), toxic, total)
+    return able & (ratio >= ratio[able].max())
+
+
 def _tagged(model: ToxicModel, table: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of all texts, a few texts at a time; ``table`` has the three numbers of each distinct word."""
     p, pairs = np.empty(len(tokens)), np.zeros((2, 2))

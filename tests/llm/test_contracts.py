@@ -76,6 +76,14 @@ def test_op1_held_out_accuracy(spark, result):
     assert len(held) > 500 and sum(p == t for p, t in held) / len(held) > 0.97
 
 
+def test_op1_finds_words_with_few_labels(texts, result):
+    """The smallest table has six toxic labels to learn from; a model that scores 0 finds none of these."""
+    plainly = set("idiot clown loser worthless pathetic trash scum disgusting moron stupid".split())
+    toxic = {d for d, t in texts.items() if plainly & set(re.findall(r"\w+", (t or "").lower()))}
+    hit = {r["doc_id"] for r in result("op1_toxicity") if r["predicted"]}
+    assert len(toxic) > 5 and len(hit & toxic) >= 0.7 * len(toxic) and len(hit - toxic) <= 0.1 * len(texts)
+
+
 def test_op2_equals_the_library(texts, result):
     library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     for r in result("op2_pieces"):
