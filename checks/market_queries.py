@@ -10,6 +10,7 @@ from checks.adapters import event_market
 from checks.sql import AS_OF, GOLD, OFFERS, since
 from shelfscope.operators.detail_payloads import flatten_details
 from shelfscope.plans import market as M
+from shelfscope.plans.silver import flat_offers
 
 SELLER = "Purchase"
 ME = "lower('Purchase')"
@@ -30,6 +31,20 @@ def doc2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(M.competitor_moves(m.offers, SELLER, m.as_of), "price_change")
 
 
+def doc2_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events landed as offer rows; their stock is stated by the snapshots only."""
+    m = event_market(spark, sf_dir, 14)
+    landed = m.offers.select(
+        "asin", "seller_id", "offer_position", "category_label",
+        F.date_format("extracted_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("extracted_at"),
+        F.col("seller_name").alias("seller"), F.col("total_price").alias("price"),
+        F.lit(None).cast("double").alias("price_shipping"), F.lit("new").alias("condition"),
+        F.lit(None).cast("string").alias("node_label"), F.lit("offer").alias("pricing_status"),
+    )
+    moves = M.competitor_moves(flat_offers(landed), SELLER, m.as_of, gold=m.gold)
+    return moves.withColumns({c: F.col(c).cast("double") for c in ("price", "prev_price", "price_change")})
+
+
 def doc3(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = event_market(spark, sf_dir, 2)
     return M.assortment_gaps(m.gold, m.offers, SELLER, m.as_of, 2)
@@ -97,6 +112,7 @@ def doc11(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "doc1_price_dispersion": doc1,
     "doc2_competitor_moves": doc2,
+    "doc2_moves_of_flat_offers": doc2_flat,
     "doc3_assortment_gaps": doc3,
     "doc4_undercutting": doc4,
     "doc5_category_price_drops": doc5,
@@ -131,6 +147,16 @@ l as (select *, lag(price) over p prev_price, lag(stock) over p prev_stock from
   window p as (partition by asin, seller_key order by snapshot_date))
 select *, round(price - prev_price, 6) price_change, stock - prev_stock stock_change from l
 where price <> prev_price or stock <> prev_stock""",
+    "doc2_moves_of_flat_offers": f"""with {GOLD},
+p as (select asin, lower(seller_name) seller_key, snapshot_date, min(cast(total_price as decimal(12, 2))) price
+  from offers where {since(14)} and lower(seller_name) <> {ME} group by 1, 2, 3),
+s as (select asin, lower(buybox_seller_name) seller_key, snapshot_date, buybox_stock stock from gold where {since(14)}),
+l as (select p.*, stock, last_value(price ignore nulls) over w prev_price, last_value(stock ignore nulls) over w prev_stock
+  from p left join s using (asin, seller_key, snapshot_date)
+  window w as (partition by asin, seller_key order by snapshot_date rows between unbounded preceding and 1 preceding))
+select asin, seller_key, snapshot_date, cast(price as double) price, stock, cast(prev_price as double) prev_price, prev_stock,
+  cast(price - prev_price as double) price_change, stock - prev_stock stock_change
+from l where price <> prev_price or stock <> prev_stock""",
     "doc3_assortment_gaps": f"""with {GOLD},
 mine as (select * from offers where {since(2)} and lower(seller_name) = {ME})
 select category_label, asin, max(snapshot_date) last_seen, min(min_total_price) lowest_price from gold

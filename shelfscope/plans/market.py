@@ -72,17 +72,43 @@ def daily_seller_prices(offers: DataFrame) -> DataFrame:
     )
 
 
-def competitor_moves(offers: DataFrame, seller: str, as_of: AsOf = None, days: int = 14) -> DataFrame:
-    """Days on which another seller changed price or stock, against its previous day on that product.
+def _stated_stock(gold: DataFrame) -> DataFrame:
+    """Stock that the snapshots state as a number, per product, buy-box holder and day."""
+    return gold.select(
+        "asin",
+        P.seller_key(gold, HOLDER).alias("seller_key"),
+        "snapshot_date",
+        F.col("buybox_stock").try_cast("int").alias("stock"),
+    ).where(F.col("stock").isNotNull())
+
+
+def competitor_moves(
+    offers: DataFrame, seller: str, as_of: AsOf = None, days: int = 14, gold: DataFrame | None = None
+) -> DataFrame:
+    """Days on which another seller changed price or stock, against the days before it on that product.
 
-    Offers are reduced to one row per product, seller and day first, so a window group is as long
-    as the look-back at most.
+    The previous price and stock are the last known ones. Offers without a ``stock`` column, as in the silver table,
+    have the stock that the snapshots (``gold``) state for the buy-box holder, also on days without an offer of the
+    holder; the stock of other sellers is not landed. Rows are reduced to one per product, seller and day first, so a
+    window group is as long as the look-back at most.
     """
     rows = recent_offers(offers, as_of, days)
     daily = daily_seller_prices(rows.where(P.other_seller(_seller(rows), seller)))
-    by_day = Window.partitionBy("asin", "seller_key").orderBy("snapshot_date")
+    if "stock" not in offers.columns:
+        if gold is None:
+            raise ValueError("offers have no stock column: pass the snapshots as gold")
+        stated = _stated_stock(recent(gold, as_of_date(as_of, offers), days))
+        daily = (
+            daily.drop("stock")
+            .unionByName(stated.where(P.other_seller(F.col("seller_key"), seller)), allowMissingColumns=True)
+            .groupBy("asin", "seller_key", "snapshot_date")
+            .agg(F.max("price").alias("price"), F.max("stock").alias("stock"))
+        )
+    before = (
+        Window.partitionBy("asin", "seller_key").orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, -1)
+    )
     return (
-        daily.withColumns({"prev_price": F.lag("price").over(by_day), "prev_stock": F.lag("stock").over(by_day)})
+        daily.withColumns({f"prev_{c}": F.last(c, ignorenulls=True).over(before) for c in ("price", "stock")})
         .where((F.col("price") != F.col("prev_price")) | (F.col("stock") != F.col("prev_stock")))
         .withColumns(
             {

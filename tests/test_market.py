@@ -60,6 +60,15 @@ def test_moves_skip_days_without_offers(offers, rows):
     assert out == [(day(1), -1.0, 0), (day(0), 0.0, -2)]
 
 
+def test_moves_of_stock_alone_with_silver_offers(gold, offers, rows):
+    o = offers(*((n, "A", s, 9.0, 1) for n in (6, 5, 3, 2) for s in ("x", "y", "me")), (1, "A", "y", 8.0, 1)).drop("stock")
+    g = gold((6, "A", "X", 9.0, 7), (5, "A", "Me", 9.0, 1), (3, "A", "x", 9.0, "many"), (2, "A", "X", 9.0, 4), (0, "A", "x", 9.0, 2))
+    out = sorted((r["snapshot_date"], r["seller_key"], r["price_change"], r["stock_change"]) for r in rows(M.competitor_moves(o, "Me", TODAY, gold=g)))
+    assert out == [(day(2), "x", 0.0, -3), (day(1), "y", -1.0, None), (day(0), "x", None, -2)]
+    with pytest.raises(ValueError):
+        M.competitor_moves(o, "Me", TODAY)
+
+
 def test_gaps_stay_within_the_sellers_categories(gold, offers, rows):
     g = gold((0, "A", "x", 1.0, 1), (0, "B", "x", 2.0, 1)).unionByName(gold((0, "C", "x", 3.0, 1)).withColumn("category_label", F.lit("d")))
     assert [r["asin"] for r in rows(M.assortment_gaps(g, offers((0, "A", "me", 1.0, 1)), "me", TODAY))] == ["B"]
