@@ -13,7 +13,7 @@ whose documents are then in one component are done, and in the others only pairs
 most, which rules out most pairs of a group by their sizes. So a group of many near copies costs a row per document and key, not a row per pair, and no link between different texts is lost.
 
 NULL and empty texts, and texts without words, have no tokens and are linked with nothing. Shorter texts are one shingle. Rows that
-repeat a doc_id count as documents of their own text; a component joins all rows of an id. NULL ids are kept as rows and linked with nothing.
+repeat a doc_id count as documents of their own text and have its component; different texts of an id are not joined by it. NULL ids are kept as rows and linked with nothing.
 Other columns of the input are not read.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfscope.llm.common import WordTable, batch_of, out_schema, over_texts, stored, worker_table
+from shelfscope.llm.common import WordTable, batch_of, out_schema, over_texts, pieces, stored, worker_table
 
 WORDS = 5
 PERCENT = 80
@@ -421,6 +421,11 @@ def components(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
 
 def joined(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
+    return _placed_rows(docs).drop("digest")
+
+
+def _placed_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, digest) of every row; rows linked with nothing have no digest."""
     plain = docs.select("doc_id", "text")
     known = stored(indexed(plain, frequent_tokens(plain)), "jaccard-index")
     usable = known.where("n > 0 and doc_id is not null")
@@ -434,12 +439,36 @@ def joined(docs: DataFrame) -> DataFrame:
     smallest = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     found = placed.join(smallest, "label").select("digest", "component_id")
     rows = known.select("doc_id", "n", F.when(F.expr("n > 0 and doc_id is not null"), F.col("digest")).alias("digest"))
-    linked = rows.where("digest is not null").join(found, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = rows.where("digest is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    linked = rows.where("digest is not null").join(found, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "digest")
+    alone = rows.where("digest is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "digest")
     return linked.unionByName(alone)
 
 
+def _with_digest(docs: DataFrame) -> DataFrame:
+    names = [*docs.columns, "_digest"]
+
+    def run(batches):
+        tokens = Tokens()
+        for batch in batches:
+            for part, texts in pieces(batch):
+                digests = pa.array([_digest(s) for s in tokens.of(texts)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, digests], names)
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_digest", T.BinaryType())]))
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents whose id is the smallest of their component."""
-    gone = joined(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The documents whose id is the smallest of their component.
+
+    Where an id has several texts and only some of them go, its rows are told apart by their token sets.
+    """
+    rows = stored(_placed_rows(docs).select("doc_id", "digest", F.expr("component_id <> doc_id").alias("goes")), "jaccard-rows")
+    ids = rows.groupBy("doc_id").agg(F.bool_or("goes").alias("some"), F.bool_and("goes").alias("all"))
+    hit = stored(ids.where("some"), "jaccard-gone")
+    kept = docs.join(hit.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    mixed = hit.where("not all").select("doc_id")
+    if mixed.isEmpty():
+        return kept
+    gone = rows.where("goes").join(mixed, "doc_id", "left_semi").select("doc_id", F.col("digest").alias("_digest")).distinct()
+    told = _with_digest(docs.join(mixed, "doc_id", "left_semi").select(*docs.columns))
+    return kept.unionByName(told.join(gone, ["doc_id", "_digest"], "left_anti").select(*docs.columns))

@@ -114,3 +114,13 @@ def test_pages(spark):
     assert archives.through_archives(pages.where("false")).count() == 0
     kept = archives.through_archives(pages, least=2).where("record_type = 'revisit'").count()
     assert kept == 0
+
+
+def test_one_of_each_keeps_every_text_of_a_repeated_id(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(1, a), (5, a), (5, b), (9, b), (5, ""), (9, None), (7, b + " end"), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {(r["doc_id"], r["text"]) for r in jaccard_join.one_of_each(docs).collect()}
+    assert kept == {(1, a), (5, b), (5, ""), (9, None), (None, a)}
+    few = docs.where("doc_id <> 5 or text = '" + a + "'")
+    assert {(r["doc_id"], r["text"]) for r in jaccard_join.one_of_each(few).collect()} == {(1, a), (7, b + " end"), (9, None), (None, a)}
