@@ -10,6 +10,7 @@ from checks.adapters import event_market
 from checks.sql import AS_OF, GOLD, OFFERS, since
 from shelfscope.operators.detail_payloads import flatten_details
 from shelfscope.plans import market as M
+from shelfscope.plans.gold import daily_snapshot
 from shelfscope.plans.silver import flat_offers
 
 SELLER = "Purchase"
@@ -50,6 +51,14 @@ def doc3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.assortment_gaps(m.gold, m.offers, SELLER, m.as_of, 2)
 
 
+def doc3_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's own 30 days; a product is a user and a stock figure, else every one is offered within them."""
+    m = event_market(spark, sf_dir, 30)
+    offers = m.offers.withColumn("asin", F.concat("asin", F.lit("-"), F.col("stock").cast("string")))
+    gold = daily_snapshot(offers, rank_by=("total_price", "offer_position"), house="view")
+    return M.assortment_gaps(gold, offers, SELLER, m.as_of)
+
+
 def doc4(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = event_market(spark, sf_dir, 14)
     return rounded(M.undercutting(m.offers, SELLER, m.as_of), "undercut_by")
@@ -114,6 +123,7 @@ QUERIES = {
     "doc2_competitor_moves": doc2,
     "doc2_moves_of_flat_offers": doc2_flat,
     "doc3_assortment_gaps": doc3,
+    "doc3_gaps_of_a_month": doc3_month,
     "doc4_undercutting": doc4,
     "doc5_category_price_drops": doc5,
     "doc6_low_stock": doc6_low,
@@ -130,6 +140,8 @@ QUERIES = {
 _DAILY = """daily as (select asin, lower(seller_name) seller_key, snapshot_date, min(total_price) price,
     arg_min(stock, {'p': total_price, 's': stock}) stock from offers where """ + since(14) + """ group by 1, 2, 3)"""
 
+_FINE_ASIN = "cast(user_id as varchar) || '-' || json_extract_string(props, '$.k') asin"
+
 _LOSSES = f"""w as (select *, lag(buybox_seller_name) over (partition by asin order by snapshot_date) prev_day_buybox_seller
     from gold where {since(14)}),
 losses as (select snapshot_date, asin, buybox_seller_name, pdp_total_price, prev_day_buybox_seller from w
@@ -161,6 +173,11 @@ from l where price <> prev_price or stock <> prev_stock""",
 mine as (select * from offers where {since(2)} and lower(seller_name) = {ME})
 select category_label, asin, max(snapshot_date) last_seen, min(min_total_price) lowest_price from gold
 where {since(2)} and category_label in (select category_label from mine) and asin not in (select asin from mine)
+group by 1, 2""",
+    "doc3_gaps_of_a_month": f"""with {GOLD.replace("cast(user_id as varchar) asin", _FINE_ASIN)},
+mine as (select * from offers where {since(30)} and lower(seller_name) = {ME})
+select category_label, asin, max(snapshot_date) last_seen, min(min_total_price) lowest_price from gold
+where {since(30)} and category_label in (select category_label from mine) and asin not in (select asin from mine)
 group by 1, 2""",
     "doc4_undercutting": f"""with {OFFERS}, {_DAILY}
 select r.asin, r.snapshot_date, r.seller_key, r.price, m.price my_price, round(m.price - r.price, 6) undercut_by

@@ -1,10 +1,12 @@
 """Market questions on small hand-made tables."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import market_queries
 from shelfscope.plans import market as M
 from shelfscope.plans.silver import write_offers
 from shelfscope.schemas import SILVER_OFFERS, conform
@@ -74,6 +76,12 @@ def test_gaps_stay_within_the_sellers_categories(gold, offers, rows):
     assert [r["asin"] for r in rows(M.assortment_gaps(g, offers((0, "A", "me", 1.0, 1)), "me", TODAY))] == ["B"]
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="test tables not mounted")
+def test_gaps_of_a_month_reach_beyond_two_days(spark):
+    out = market_queries.QUERIES["doc3_gaps_of_a_month"](spark, "/root/testdata/sf0.01").toPandas()
+    assert len(out) > 1000 and (out["last_seen"].max() - out["last_seen"].min()).days > 20
+
+
 def test_undercutting_gives_one_row_per_rival_and_day(offers, rows):
     o = offers((0, "A", "me", 10.0, 1), (0, "A", "ME", 11.0, 1), (0, "A", "x", 9.0, 1), (0, "A", "x", 8.5, 1), (0, "A", "y", 10.0, 1), (1, "A", "z", 1.0, 1))
     assert [(r["seller_key"], r["price"], r["my_price"], r["undercut_by"]) for r in rows(M.undercutting(o, "me", TODAY))] == [("x", 8.5, 10.0, 1.5)]
