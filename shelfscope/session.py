@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings; everything sized by the cluster (memory, shuffle width) is left to it.
 RUNTIME_CONF = {
@@ -57,3 +58,10 @@ def shared_folder(spark: SparkSession) -> str:
     folder = os.path.join(tempfile.gettempdir(), "shelfscope-shared")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to a new folder of the shared one and read back: fixed once, and safe from lost executors."""
+    path = os.path.join(shared_folder(df.sparkSession), "shelfscope", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
