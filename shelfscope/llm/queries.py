@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfscope.llm import archives, decontaminate, jaccard_join, langid, line_dedup, pieces, quality, rules, secrets, toxicity
+from shelfscope.llm import alignment, archives, decontaminate, jaccard_join, langid, line_dedup, pieces, prefix_trie, quality, rules, secrets, shards, toxicity
 from shelfscope.llm.common import remainder, table
 
 
@@ -75,6 +75,25 @@ def op10_quality_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, conv_ids = prefix_trie.with_borrowed_heads(prefix_trie.turn_index(table(spark, sf_dir, "conversations")))
+    nodes, ends = prefix_trie.prefix_trie(turns, conv_ids)
+    digests = prefix_trie.joined_ids_sha256(ends)
+    return nodes.join(digests, ["x", "y"], "left").fillna(prefix_trie.NO_IDS, ["ends_sha256"]).drop("x", "y")
+
+
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = shards.shuffled_shards(table(spark, sf_dir, "documents"))
+    return sharded.select(
+        "doc_id", shards.text_size().alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "bucket",
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -82,7 +101,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (op1_toxicity, op2_pieces, op3_archives, op4_jaccard_join, op5_decontamination, op6_quality_rules, op7_line_dedup,
-              op8_language_mixture, op9_secrets, op10_quality_embeddings, pipeline)
+              op8_language_mixture, op9_secrets, op10_quality_embeddings, op11_alignment, op12_prefix_trie, op13_shards, pipeline)
 }
 
 _EDGE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -124,4 +143,44 @@ marked as (
 select doc_id, count(*) n_lines, cast(sum(case when gone then 1 else 0 end) as bigint) n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) kept_sha256
 from marked group by doc_id""",
+    "op12_prefix_trie": """
+with bytes as (
+  select list(list_reduce(list_prepend(i, range(8)), lambda x, y: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end) order by i) t
+  from (select unnest(range(256)) i)),
+turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, sha) pos, sha, n_words
+  from (select conv_id, turn, sha256(sha256(coalesce(role, '')) || coalesce(text, '')) sha,
+               len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) n_words
+        from conversations where conv_id is not null)),
+convs as (
+  select conv_id, conv_id - conv_id % 20 lender, n_own,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(conv_id as varchar), ''), lambda c: cast(ascii(c) as bigint))),
+           lambda x, c: xor(x // 256, t[cast(xor(x, c) % 256 + 1 as integer)])), 4294967295) % 4 h
+  from (select conv_id, count(*) n_own from turns group by conv_id), bytes),
+plan as (
+  select c.conv_id, c.lender, c.h, least(c.h, coalesce(l.n_own, 0)) k from convs c left join convs l on l.conv_id = c.lender),
+rebuilt as (
+  select p.conv_id, t.pos, t.sha, t.n_words from plan p join turns t on t.conv_id = p.lender and t.pos <= p.h
+  union all
+  select p.conv_id, t.pos - p.h + p.k, t.sha, t.n_words from plan p join turns t on t.conv_id = p.conv_id and t.pos > p.h),
+paths as (
+  select conv_id, 0 as depth, '' as node, 0 as n_words from convs
+  union all
+  select conv_id, pos, string_agg(sha, '') over (partition by conv_id order by pos), n_words from rebuilt),
+lengths as (select conv_id, max(depth) depth from paths group by conv_id),
+nodes as (
+  select node, depth, min(conv_id) conv_id, count(*) n_convs, (count(*) - 1) * max(n_words) saved from paths group by node, depth),
+children as (select left(node, len(node) - 64) node, count(*) n from nodes where depth > 0 group by all),
+ends as (
+  select p.node, string_agg(cast(p.conv_id as varchar), ',' order by p.conv_id) ids
+  from paths p join lengths l using (conv_id, depth) group by p.node),
+leaves as (
+  select n.*, coalesce(c.n, 0) n_children, case when c.n is null then 1 else 0 end leaf from nodes n left join children c using (node)),
+sums as (
+  select v.node, sum(w.leaf) n_leaves, sum(w.saved) saved_tokens
+  from leaves w, unnest(range(0, w.depth + 1)) u(d), nodes v where v.node = left(w.node, 64 * u.d) group by v.node)
+select l.conv_id, cast(l.depth as bigint) depth, p.conv_id parent_conv_id, l.n_convs, l.n_children, cast(s.n_leaves as bigint) n_leaves,
+       cast(s.saved_tokens as bigint) saved_tokens, sha256(coalesce(e.ids, '')) ends_sha256
+from leaves l join sums s using (node) left join ends e using (node)
+left join nodes p on l.depth > 0 and p.node = left(l.node, len(l.node) - 64)""",
 }
