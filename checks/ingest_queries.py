@@ -191,7 +191,7 @@ def src5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolved(L.supplier_registry(spark, sf_dir)).select(
+    return resolved(L.supplier_registry(spark, sf_dir), PAGE_CAP).select(
         "source", "category_label", "node_label", "run_label", "domain", "max_pages", "start_page"
     )
 
@@ -421,7 +421,7 @@ d as (select p_partkey, c, q, case c when 0 then 1 when 1 then 2 when 2 then 3 w
   case c when 1 then 'gq' when 2 then 'list' when 4 then 'gq' end layout_hint from p),
 n as (select d.*, cast(unnest(range(1, total_pages + 1)) as integer) page_number from d)
 select p_partkey, total_pages, offset_step, layout_hint, page_number,
-  cast((page_number - 1) * offset_step as integer) "offset",
+  cast((page_number - 1) * offset_step as bigint) "offset",
   'https://shop.example.com/c/' || p_partkey || case
     when page_number = 1 then case when q then '?l=zz&sort=a%20b&o=5' else '' end
     when q then '?l=zz&sort=a+b&o=' || ((page_number - 1) * offset_step)

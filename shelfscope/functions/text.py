@@ -85,12 +85,25 @@ def page_number_or_next(text: Column, current: Column) -> Column:
 
 
 def report_cell(c: Column, type_name: str) -> Column:
-    """A value as the text reports print it: ``None``, ``True``, ``12.5``, ``10000000.0``."""
+    """A value as the text reports print it: ``None``, ``True``, ``12.5``, ``10000000.0``, ``0.0005``, ``1e-05``, ``1e+16``."""
     text = c.cast("string")
     if type_name == "boolean":
         text = F.initcap(text)
     elif type_name in ("double", "float"):
         plain = F.rtrim(c.cast("decimal(38,15)").cast("string"), F.lit("0"))
         plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-        text = F.when((F.abs(c) >= 1e7) & (F.abs(c) < 1e16), plain).otherwise(text)
+        size = F.abs(c)
+        sign = F.when(text.startswith("-"), "-").otherwise("")
+        digits = F.regexp_replace(F.regexp_extract(text, r"^-?([0-9.]+)", 1), r"\.0$", "")
+        power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
+        small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), F.replace(digits, F.lit("."), F.lit("")))
+        exponent = F.concat(F.when(power < 0, "-").otherwise("+"), F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power))
+        text = (
+            F.when(F.isnan(c), "nan")
+            .when(size == float("inf"), F.concat(sign, F.lit("inf")))
+            .when((size >= 1e7) & (size < 1e16), plain)
+            .when((size < 1e-3) & (size >= 1e-4), small)
+            .when((size >= 1e16) | ((size < 1e-4) & (size > 0)), F.concat(sign, digits, F.lit("e"), exponent))
+            .otherwise(text)
+        )
     return F.coalesce(text, F.lit("None"))

@@ -47,13 +47,9 @@ def numbered(
     """
     tie, place, task, first, before = _fresh(df, "_tie", "_place", "_task", "_first", "_before")
     keys = [*within, *order]
-    marked = df.withColumn(tie, F.monotonically_increasing_id())
-    placed = (
-        marked.repartitionByRange(*keys, tie)
-        .sortWithinPartitions(*keys, tie)
-        .drop(tie)
-        .withColumn(place, F.monotonically_increasing_id())
-    )
+    # Without an order or groups, rows stay where they are.
+    sorted_ = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys, tie).sortWithinPartitions(*keys, tie).drop(tie) if keys else df
+    placed = sorted_.withColumn(place, F.monotonically_increasing_id())
     rows = written(placed, "numbered").withColumn(task, F.shiftrightunsigned(place, 33))
     counts = rows.groupBy(*within, task).agg(F.min(place).alias(first), F.count("*").alias(before))
     earlier = Window.partitionBy(*within).orderBy(task).rowsBetween(Window.unboundedPreceding, -1)

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from shelfscope.functions.bind import once
 from shelfscope.functions.variants import falsy, get, parsed, present
 
-# The crawler's own limit of pages per source and run, for callers that ask for it.
+# The crawler's own limit of pages per source and run, for callers that pass it.
 PAGE_CAP = 100
 # Page numbers per block when pages are counted without a limit.
 BLOCK = 1000
 
 
-def page_budget(max_pages: Column, cap: int | None = PAGE_CAP) -> Column:
+def page_budget(max_pages: Column, cap: int | None = None) -> Column:
     """Unset, zero, negative or too large budgets mean the cap; without a cap any positive budget counts, else NULL."""
     if cap is None:
         return F.when(max_pages >= 1, max_pages)
@@ -42,47 +42,16 @@ def page_flags(pages: DataFrame, payload: str = "payload") -> DataFrame:
     )
 
 
-def select_pages(
-    pages: DataFrame,
-    keys: Sequence[str],
-    max_pages: Column | int | None = None,
-    start_page: Column | int | None = 1,
-) -> DataFrame:
-    """The pages a run would keep of the first 100 of a source, with ``page_number`` counting the good ones.
-
-    ``all_pages`` has no such limit. ``pages`` holds ``source_page``, ``failed`` and ``has_next``. Failed pages use up the budget but are
-    left out; reading ends after the first good page without a next page. The constant cap on the rank
-    lets Spark cut every source to 100 pages inside the tasks, before the shuffle, so no source, however
-    large, reaches a task whole and the windows below run over at most 100 rows.
-    """
-    budget = max_pages if isinstance(max_pages, Column) else F.lit(max_pages).cast("int")
-    start = start_page if isinstance(start_page, Column) else F.lit(start_page).cast("int")
-    in_order = Window.partitionBy(*keys).orderBy("source_page")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    ended = F.coalesce(
-        F.max(~F.col("failed") & ~F.col("has_next")).over(before), F.lit(False)
-    )
-    capped = (
-        pages.where(F.col("source_page") >= first_page(start))
-        .withColumn("attempt", F.row_number().over(in_order))
-        .where(F.col("attempt") <= PAGE_CAP)
-    )
-    return (
-        capped.where(F.col("attempt") <= page_budget(budget))
-        .withColumn("ended", ended)
-        .where(~F.col("ended") & ~F.col("failed"))
-        .withColumn("page_number", F.row_number().over(in_order))
-        .drop("attempt", "ended")
-    )
-
-
 def all_pages(
     pages: DataFrame,
     keys: Sequence[str],
     max_pages: Column | int | None = None,
     start_page: Column | int | None = 1,
 ) -> DataFrame:
-    """As ``select_pages``, but without its cap: an unset budget, zero or less means all pages, any other is kept to.
+    """The pages a run would keep, with ``page_number`` counting the good ones; no budget, zero or less means all pages.
+
+    ``pages`` holds ``source_page``, ``failed`` and ``has_next``. Failed pages use up the budget but are left out; reading
+    ends after the first good page without a next page.
 
     Pages are counted per block of BLOCK page numbers by an aggregate, which also finds each source's first good page
     without a next one. Places within a source are those of its blocks before plus the place within the block, so a
@@ -122,3 +91,18 @@ def all_pages(
         .where(good & (budget.isNull() | (F.col("_attempt") <= budget)))
         .drop("_block", "_n", "_good", "_end", "_attempt", *[f"_of_{k}" for k in joined])
     )
+
+
+def select_pages(
+    pages: DataFrame,
+    keys: Sequence[str],
+    max_pages: Column | int | None = None,
+    start_page: Column | int | None = 1,
+    cap: int | None = None,
+) -> DataFrame:
+    """The pages a run would keep, with ``page_number`` counting the good ones: ``all_pages`` with the budget under ``cap``.
+
+    ``PAGE_CAP`` as the cap gives the crawler's own behaviour; without a cap every budget is kept to.
+    """
+    budget = max_pages if isinstance(max_pages, Column) else F.lit(max_pages).cast("int")
+    return all_pages(pages, keys, page_budget(budget, cap), start_page)

@@ -85,14 +85,31 @@ def detect_pagination(pages: DataFrame, prefix: str = PRODUCT_PREFIX) -> DataFra
     )
 
 
-def page_plan(detected: DataFrame, url: str = "url") -> DataFrame:
-    """One row per page to visit: the category page itself, then ``offset``-addressed pages."""
-    numbers = F.when(F.col("total_pages") > 1, F.sequence(F.lit(1), F.col("total_pages"))).otherwise(
-        F.array(F.lit(1))
-    )
-    offset = (F.col("page_number") - 1) * F.col("offset_step")
+# Pages that one generated array holds: whatever total a page announces, no row is larger than this.
+PAGES_AT_ONCE = 1 << 15
+
+
+def absurd_total(most_pages: int) -> Column:
+    """A page announces more pages than any category has."""
+    return F.coalesce(F.col("total_pages") > most_pages, F.lit(False))
+
+
+def page_plan(detected: DataFrame, url: str = "url", most_pages: int | None = None) -> DataFrame:
+    """One row per page to visit: the category page itself, then ``offset``-addressed pages.
+
+    Pages are generated in blocks of PAGES_AT_ONCE and then one by one, so a total read off a button never becomes one
+    array. Categories that announce more than ``most_pages`` are left out where it is given; ``absurd_total`` finds them.
+    """
+    if most_pages is not None:
+        detected = detected.where(~absurd_total(most_pages))
+    last = F.greatest(F.coalesce("total_pages", F.lit(1)), F.lit(1))
+    offset = (F.col("page_number") - 1).cast("bigint") * F.col("offset_step")
     return (
-        detected.withColumn("page_number", F.explode(numbers))
+        detected.withColumn("_from", F.explode(F.sequence(F.lit(0), F.expr(f"(greatest(coalesce(total_pages, 1), 1) - 1) div {PAGES_AT_ONCE}").cast("int"))))
+        .withColumn("_from", F.col("_from") * PAGES_AT_ONCE + 1)
+        # The smaller end first: the sum may pass the largest whole number.
+        .withColumn("page_number", F.explode(F.sequence("_from", F.col("_from") + F.least(last - F.col("_from"), F.lit(PAGES_AT_ONCE - 1)))))
+        .drop("_from")
         .withColumn("offset", offset)
         .withColumn(
             "page_url",

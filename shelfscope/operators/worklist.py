@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope.functions.predicates import truthy_key
 from shelfscope.functions.text import stripped
+from shelfscope.operators import numbering
 
 # Answers that stand for none.
 MISSING_PAYLOAD = '{"error":"Missing result"}'
@@ -21,16 +24,15 @@ def usable_lines(lines: Column) -> Column:
 def read_lines(spark: SparkSession, path: str, max_items: int | None = None) -> DataFrame:
     """``(pos, value)``: trimmed non-blank lines of text files on any Hadoop file system.
 
-    ``pos`` grows with the file's name and the line's place in it, however Spark deals the files out: lines are
-    sorted by both, and numbered in that order. The cap counts lines after blanks are dropped, 0 or None is no cap.
+    ``pos`` counts from 0 by the file's name and the line's place in it, however Spark deals the files out. The cap
+    counts lines after blanks are dropped, 0 or None is no cap.
     """
     place = ("_metadata.file_path", "_metadata.file_block_start")
     lines = spark.read.text(path).select(
         *(F.col(c).alias(f"_{i}") for i, c in enumerate(place)), F.monotonically_increasing_id().alias("_2"), stripped(F.col("value")).alias("value")
     )
-    lines = lines.where("value <> ''").orderBy("_0", "_1", "_2")
-    lines = lines.limit(max_items) if max_items else lines
-    return lines.select(F.monotonically_increasing_id().alias("pos"), "value")
+    lines = numbering.numbered(lines.where("value <> ''"), ["_0", "_1", "_2"]).select("pos", "value")
+    return lines.where(F.col("pos") < max_items) if max_items else lines
 
 
 def column_scan(
@@ -54,9 +56,9 @@ def column_scan(
     return rows.where(truthy_key(rows, "val"))
 
 
-def numbered(df: DataFrame, column: str, pos: str = "input_pos") -> DataFrame:
-    """Tag rows with a number that grows in input order, to restore that order later."""
-    return df.select(F.monotonically_increasing_id().alias(pos), F.col(column))
+def numbered(df: DataFrame, column: str, pos: str = "input_pos", order: Sequence[str | Column] = ()) -> DataFrame:
+    """``(pos, column)``: numbers from 0 without gaps in the given order, or in the input's, to restore it later."""
+    return numbering.numbered(df, order, pos).select(pos, column)
 
 
 def attach_payloads(worklist: DataFrame, payloads: DataFrame, key: str = "asin") -> DataFrame:

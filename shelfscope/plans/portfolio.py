@@ -10,8 +10,8 @@ from shelfscope.functions.dates import AsOf, recent_offers
 from shelfscope.functions.text import percent
 from shelfscope.plans.reports import HOLDER, recent
 
-# Length of the product lists, and the win rate a healthy portfolio exceeds.
-LIST_CAP = 20
+# The usual length of a short product list, and the win rate a healthy portfolio exceeds.
+SHORT_LIST = 20
 HEALTHY_ABOVE = 70
 
 
@@ -55,12 +55,18 @@ def latest_standing(
 
 
 def portfolio_health(
-    gold: DataFrame, offers: DataFrame, seller: str, as_of: AsOf = None, days: int = 14, offer_days: int = 30
+    gold: DataFrame,
+    offers: DataFrame,
+    seller: str,
+    as_of: AsOf = None,
+    days: int = 14,
+    offer_days: int = 30,
+    list_cap: int | None = None,
 ) -> DataFrame:
-    """One row: product counts, win rate and the first products of each side by name.
+    """One row: product counts, win rate and the products of each side by name.
 
-    The capped name lists rank within each side; the rank filter cuts to the cap inside every task
-    before the shuffle, so no side is ever collected whole.
+    With ``list_cap`` the lists hold the first names only: the rank filter cuts to the cap inside every task before the
+    shuffle, so no side is collected whole. Without it one row holds all names; ``latest_standing`` has them as rows.
     """
     standing = latest_standing(gold, offers, seller, as_of, days, offer_days)
     counts = standing.agg(
@@ -70,14 +76,11 @@ def portfolio_health(
     ).select("total", "won", "lost_today", F.lit(None).cast("boolean").alias("side"), F.lit(None).cast("string").alias("name"))
     # just_lost in the order makes both branches read the same columns, so Spark runs the shared part once.
     by_name = Window.partitionBy("is_winning").orderBy("asin", "just_lost")
-    names = (
-        standing.withColumn("rank", F.row_number().over(by_name))
-        .where(F.col("rank") <= LIST_CAP)
-        .select(
-            *[F.lit(None).cast("bigint").alias(c) for c in ("total", "won", "lost_today")],
-            F.col("is_winning").alias("side"),
-            F.col("asin").alias("name"),
-        )
+    listed_rows = standing if list_cap is None else standing.withColumn("rank", F.row_number().over(by_name)).where(F.col("rank") <= list_cap)
+    names = listed_rows.select(
+        *[F.lit(None).cast("bigint").alias(c) for c in ("total", "won", "lost_today")],
+        F.col("is_winning").alias("side"),
+        F.col("asin").alias("name"),
     )
 
     def listed(side: bool):

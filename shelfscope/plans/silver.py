@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfscope.operators.dedupe import first_seen, latest
+from shelfscope.operators.merge import days_of, stored_rows
 from shelfscope.schemas import SILVER_LISTING, SILVER_OFFERS, conform
 
 
@@ -82,25 +82,15 @@ def current_listing(listing_rows: DataFrame, scope: Sequence[str] = ("category_l
     )
 
 
-def _stored_days(offers: DataFrame, path: str) -> DataFrame | None:
-    """What the table holds for the days of ``offers``; None before the first load."""
-    try:
-        stored = offers.sparkSession.read.schema(offers.schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return stored.join(offers.select("snapshot_date").distinct(), "snapshot_date", "left_semi").select(*offers.columns)
-
-
 def write_offers(offers: DataFrame, path: str) -> None:
     """Add silver offers to the table, partitioned by day and sorted by product.
 
     The days present are written anew with what they held before: a second load of a day adds to the first,
-    and a load that is repeated changes nothing. Other days are not read.
+    and a load that is repeated changes nothing. The load's days are found first, by one small job, and are literals in
+    the plan that reads the table, so no other day is opened.
     """
-    stored = _stored_days(offers, path)
-    whole = offers if stored is None else first_seen(stored.unionByName(offers), OFFER_KEYS, [F.col("total_price")])
+    stored = stored_rows(offers.sparkSession, path, offers.schema, "snapshot_date", days_of(offers, "snapshot_date"))
+    whole = offers if stored is None else first_seen(stored.select(*offers.columns).unionByName(offers), OFFER_KEYS, [F.col("total_price")])
     (
         whole.hint("rebalance", "snapshot_date")
         .sortWithinPartitions("snapshot_date", "asin")

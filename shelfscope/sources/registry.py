@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from shelfscope.functions.text import label_with_node, stripped
-from shelfscope.operators.page_window import PAGE_CAP, first_page, page_budget
+from shelfscope.operators.page_window import first_page, page_budget
 from shelfscope.schemas import REGISTRY
 
 
@@ -60,10 +60,10 @@ def parameter(name: str, default: str | None = None) -> Column:
     return F.coalesce(value, F.lit(default).cast("string"))
 
 
-def resolved(registry: DataFrame, page_cap: int | None = PAGE_CAP) -> DataFrame:
+def resolved(registry: DataFrame, page_cap: int | None = None) -> DataFrame:
     """Enabled sources with their parameters typed and defaulted; ``enabled`` defaults to true.
 
-    ``max_pages`` is at most ``page_cap``; with None it is the budget as registered, and NULL means all pages.
+    ``max_pages`` is the budget as registered, and NULL means all pages; with ``page_cap`` it is that at most.
     Product-detail sources prefer ``node`` over ``node_label``, the others the reverse.
     """
     on = F.coalesce("enabled", F.lit(True))
@@ -91,11 +91,11 @@ def resolved(registry: DataFrame, page_cap: int | None = PAGE_CAP) -> DataFrame:
     )
 
 
-def find_source(registry: DataFrame, name: str, page_cap: int | None = PAGE_CAP) -> dict:
+def find_source(registry: DataFrame, name: str, page_cap: int | None = None) -> dict:
     """One source's resolved parameters. The registry is a small config table read by key."""
     hit = registry.where(F.col("name") == name).limit(1).collect()
     if not hit:
         raise SourceNotFound(name)
     if hit[0]["enabled"] is False:
         raise SourceDisabled(name)
-    return resolved(registry.where(F.col("name") == name)).first().asDict()
+    return resolved(registry.where(F.col("name") == name), page_cap).first().asDict()

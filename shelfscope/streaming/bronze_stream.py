@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from shelfscope.operators.merge import days_of, stored_rows
 from shelfscope.sources.jsonl import on_disk
 
 
@@ -56,18 +56,14 @@ def load_new(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str
     """Append the rows whose keys the table does not hold yet, whatever their age, and stop.
 
     Rows are compared with the stored rows of their own days only (``day`` partitions the table and belongs to the
-    keys' identity), so a backfill reads the days it touches. A load that is interrupted and repeated finds its rows
+    keys' identity): a batch's days are literals in the plan, so a backfill opens the days it touches. A load that is interrupted and repeated finds its rows
     stored and adds none twice.
     """
 
     def add(batch: DataFrame, _: int) -> None:
         fresh = batch.dropDuplicates([*keys, day])
-        try:
-            stored = batch.sparkSession.read.schema(batch.schema).parquet(target)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-        else:
+        stored = stored_rows(batch.sparkSession, target, batch.schema, day, days_of(batch, day))
+        if stored is not None:
             same = [fresh[c].eqNullSafe(stored[c]) for c in (*keys, day)]
             fresh = fresh.join(stored, same, "left_anti")
         fresh.write.mode("append").partitionBy(day).parquet(target)

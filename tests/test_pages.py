@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from shelfscope.functions.html import visible
 from shelfscope.operators.dedupe import first_seen, latest
 from shelfscope.operators.links import list_links, page_links, until_first_failure
-from shelfscope.operators.page_window import all_pages, page_flags, select_pages
-from shelfscope.operators.pagination import detect_pagination, offset_step, page_plan
+from shelfscope.operators.page_window import PAGE_CAP, all_pages, page_flags, select_pages
+from shelfscope.operators.pagination import absurd_total, detect_pagination, offset_step, page_plan
 from shelfscope.operators.product_page import product_facts, product_pages
 from shelfscope.operators.search_listing import flatten_search_pages
 
@@ -141,9 +141,9 @@ def test_page_plan(spark, rows):
     ]
 
 
-def window(spark, pages, max_pages=None, start=1):
+def window(spark, pages, max_pages=None, start=1, cap=PAGE_CAP):
     df = spark.createDataFrame([("s", *p) for p in pages], "source string, source_page int, failed boolean, has_next boolean")
-    out = select_pages(df, ["source"], max_pages, start).orderBy("source_page").collect()
+    out = select_pages(df, ["source"], max_pages, start, cap).orderBy("source_page").collect()
     return [(r["source_page"], r["page_number"]) for r in out]
 
 
@@ -156,6 +156,17 @@ def test_page_window(spark):
     assert window(spark, pages, None, -2) == [(1, 1), (3, 2), (4, 3)]
     many = [(i, False, True) for i in range(1, 151)]
     assert len(window(spark, many, 500)) == 100
+    assert len(window(spark, many, 120, cap=None)) == 120 and len(window(spark, many, cap=None)) == 150
+
+
+def test_announced_total_is_planned_in_blocks(spark):
+    df = spark.createDataFrame([("https://s.example.com/c/", 70_001, 72, None), ("https://s.example.com/d/", 2**31 - 1, 72, None), ("https://s.example.com/e/", None, 1, None)], "url string, total_pages int, offset_step int, layout_hint string")
+    out = page_plan(df.where("total_pages < 100000"))
+    assert out.agg(F.count("*"), F.count_distinct("page_number"), F.max("page_number"), F.max("offset")).first()[:] == (70_001, 70_001, 70_001, 70_000 * 72)
+    assert sorted(r["url"][-2] for r in page_plan(df, most_pages=1000).collect()) == ["e"]
+    assert [r["url"][-2] for r in df.where(absurd_total(1000)).orderBy("url").collect()] == ["c", "d"]
+    # The largest total that a page can announce is never one array.
+    assert page_plan(df.where("url like '%/d/'")).where("page_number > 2147483000").count() == 647
 
 
 def test_all_pages_of_a_source(spark):

@@ -169,7 +169,10 @@ def test_portfolio_counts_unheld_as_not_winning(spark, rows):
 def test_portfolio_lists_are_capped_and_70_percent_is_not_healthy(spark, rows):
     names = [f"P{i:02}" for i in range(30)]
     g = gold(spark, *[(0, a, "me" if i < 21 else "x") for i, a in enumerate(names)])
-    out = rows(portfolio_health(g, offers(spark, *[(0, a, "me", 1.0) for a in names]), "me", TODAY))[0]
+    o = offers(spark, *[(0, a, "me", 1.0) for a in names])
+    whole = rows(portfolio_health(g, o, "me", TODAY))[0]
+    assert whole["winning_asins"] == ", ".join(names[:21]) and whole["losing_asins"] == ", ".join(names[21:])
+    out = rows(portfolio_health(g, o, "me", TODAY, list_cap=20))[0]
     assert out["win_rate"] == pytest.approx(70.0) and out["insight"] == "revenue_at_risk"
     assert out["winning_asins"] == ", ".join(names[:20]) and out["losing_asins"] == ", ".join(names[21:])
 
@@ -184,6 +187,9 @@ def test_text_lines(spark):
     data = [(TODAY, 12.5, None, True, 12345678.25)]
     df = spark.createDataFrame(data, "d date, p double, s string, b boolean, big double")
     lines = [r["line"] for r in R.as_text(df).orderBy("part", "pos").collect()]
+    numbers = [0.0005, 1e-05, 1.5e-07, 1e16, 1.5e17, 9999999.0, 1e7, -0.00012, 0.0, float("nan"), float("-inf")]
+    cells = R.as_text(spark.createDataFrame([(x,) for x in numbers], "x double")).where("part = 1").orderBy("pos").collect()
+    assert [(r["pos"], r["line"]) for r in cells] == list(enumerate(map(str, numbers)))
     assert lines == ["d,p,s,b,big", "2024-03-31,12.5,None,True,12345678.25"]
     empty = R.as_text(df.where("p > 100"), "nothing").collect()
     assert [r["line"] for r in empty] == ["nothing"]

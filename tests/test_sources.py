@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfscope.operators.lookups import lookup_status, request_urls, wrap_lookups
 from shelfscope.operators.offer_payloads import flatten_offers
+from shelfscope.operators.page_window import PAGE_CAP
 from shelfscope.operators.worklist import column_scan, read_lines
 from shelfscope.plans.ingest import details_of_sources, listings_of_sources, offers_of_sources, union_rows
 from shelfscope.plans.silver import current_listing
@@ -55,11 +56,14 @@ def registry(spark, tmp_path_factory):
 
 
 def test_registry_defaults(registry):
-    out = {r["source"]: r for r in resolved(registry).collect()}
+    out = {r["source"]: r for r in resolved(registry, PAGE_CAP).collect()}
     assert set(out) == {"offers_a", "details_a", "bare"}
     assert (out["offers_a"]["run_label"], out["details_a"]["run_label"], out["bare"]["run_label"]) == ("mills-N", "details_a-7", "bare")
     assert (out["offers_a"]["max_items"], out["offers_a"]["key_column"], out["offers_a"]["domain"]) == (5, "asin", "de")
     assert [(out[s]["max_pages"], out[s]["start_page"]) for s in ("offers_a", "details_a", "bare")] == [(100, 1), (100, 1), (7, 3)]
+    free = {r["source"]: r["max_pages"] for r in resolved(registry).collect()}
+    assert free["bare"] == 7 and 100 not in free.values()
+    assert find_source(registry, "bare", 5)["max_pages"] == 5
 
 
 def test_registry_lookup(registry):
