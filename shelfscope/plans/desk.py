@@ -12,6 +12,7 @@ from shelfscope.functions.dates import AsOf
 from shelfscope.plans import reports as R
 from shelfscope.plans.diagnosis import diagnose, newest_performance, product_performance
 from shelfscope.plans.portfolio import portfolio_health
+from shelfscope.sources.tables import Tables
 
 
 @dataclass(frozen=True)
@@ -22,6 +23,15 @@ class SellerDesk:
     offers: DataFrame
     as_of: AsOf = None
 
+    @classmethod
+    def of_tables(cls, tables: Tables) -> SellerDesk:
+        """The desk of the stored tables on their newest day.
+
+        The day comes from the catalog's partitions and is a literal, so every report's look-back cuts the partitions
+        while it is planned, and no file is opened to find the day.
+        """
+        return cls(tables.gold(), tables.offers(), tables.newest_snapshot())
+
     def daily_pulse(self, seller: str) -> DataFrame:
         return R.daily_pulse(self.gold, seller, self.as_of)
 
@@ -51,7 +61,7 @@ class SellerDesk:
         return R.asin_raw_history(self.gold, asin, self.as_of)
 
     def current_owners(self, seller: str, asins: Sequence[str] | None = None) -> DataFrame:
-        return R.current_owners(self.gold, seller, asins)
+        return R.current_owners(self.gold, seller, asins, self.as_of)
 
     def competitor_history(self, seller: str, asins: Sequence[str] | None = None) -> DataFrame:
         return R.competitor_history(self.gold, seller, asins, self.as_of)

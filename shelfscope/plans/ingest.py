@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope.operators.detail_payloads import flatten_details
@@ -24,6 +24,48 @@ def tagged(payloads: DataFrame, registry: DataFrame, page_cap: int | None = None
     return payloads.join(limits, "source")
 
 
+def routed(payloads: DataFrame, registry: DataFrame, page_cap: int | None = None, payload: str | None = "payload") -> DataFrame:
+    """All payload rows with their source's labels and ``reject_reason``, NULL for those that a run would take.
+
+    Reasons: ``unknown_source``, ``disabled_source``, and ``unreadable_payload`` for text that is not JSON (None as
+    ``payload`` skips that test). Every landed row is there once, so accepted and rejected rows add up to the landed ones.
+    """
+    listed = registry.select(F.col("name").alias("source"), F.coalesce("enabled", F.lit(True)).alias("_on"))
+    labels = ["category_label", "node_label", "run_label", "max_pages", "start_page"]
+    known = listed.join(resolved(registry, page_cap).select("source", *labels), "source", "left")
+    rows = payloads.join(known, "source", "left")
+    reason = F.when(F.col("_on").isNull(), "unknown_source").when(~F.col("_on"), "disabled_source")
+    if payload:
+        reason = reason.when(F.try_parse_json(payload).isNull(), "unreadable_payload")
+    return rows.withColumn("reject_reason", reason).drop("_on")
+
+
+def land(payloads: DataFrame, registry: DataFrame, path: str, page_cap: int | None = None) -> dict[str, int]:
+    """Append routed payloads to ``path``, a folder per reject reason, and return how many landed, passed and failed.
+
+    The counts are observed while the rows are written, so counting costs no second pass. ``accepted`` and
+    ``quarantined`` read the two sides back, each from its own folders.
+    """
+    seen = Observation("landing")
+    rows = routed(payloads, registry, page_cap).observe(
+        seen,
+        F.count("*").alias("landed"),
+        F.count_if(F.col("reject_reason").isNull()).alias("accepted"),
+        F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"),
+    )
+    rows.write.mode("append").partitionBy("reject_reason").parquet(path)
+    return seen.get
+
+
+def accepted(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).where("reject_reason is null").drop("reject_reason")
+
+
+def quarantined(spark: SparkSession, path: str) -> DataFrame:
+    """Rejected rows as they landed, with their reason, to be looked at or landed again."""
+    return spark.read.parquet(path).where("reject_reason is not null")
+
+
 def offers_of_sources(payloads: DataFrame, registry: DataFrame) -> DataFrame:
     """``payloads(source, asin, payload, extracted_at)`` as offer rows; the label includes the node."""
     return flatten_offers(

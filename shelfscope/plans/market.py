@@ -17,49 +17,86 @@ def _seller(offers: DataFrame) -> Column:
     return P.seller_key(offers, "seller_name")
 
 
+# Cells that a range of prices is counted in; a window sees as many rows.
+CELLS = 4096
+_QUANTILES = (0.25, 0.5, 0.75)
+
+
+def _cell(price: Column, low: Column, high: Column) -> Column:
+    """The place of a price among CELLS equal parts of its range; rises with the price."""
+    return F.when(high > low, F.least(F.floor((price - low) / (high - low) * CELLS), F.lit(CELLS - 1))).otherwise(F.lit(0)).cast("int")
+
+
+def _ranked(counts: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``counts`` with ``upto``: how many values lie in the row and in those before it."""
+    return counts.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys).orderBy(order)))
+
+
 def price_dispersion(offers: DataFrame, as_of: AsOf = None, days: int = 30) -> DataFrame:
     """Spread of offer prices per category and day, quartiles interpolated between neighbours.
 
-    Prices are first counted per distinct value, which the tasks start before the shuffle, so a
-    category with a large share of all offers sends its distinct prices only. The quartiles are read
-    off a running count over those, in a sort that spills, so no group is held in memory.
+    Prices are counted per distinct value, which the tasks start before the shuffle. The exact values at the quartiles'
+    ranks are found without a window over a category's prices: the range is cut into CELLS, the counts of the cells tell
+    which cell holds a rank, that cell is cut again, and only the prices of the last cell are put in order.
     """
-    group = ["category_label", "snapshot_date"]
-    histogram = (
-        recent_offers(offers, as_of, days)
-        .where(F.col("total_price").isNotNull())
-        .groupBy(*group, F.col("total_price").cast("double").alias("price"))
-        .agg(F.count("*").alias("n"))
+    priced = recent_offers(offers, as_of, days).where(F.col("total_price").isNotNull())
+    # One key, so that a NULL category is a group like any other in joins too.
+    histogram = priced.groupBy(
+        F.struct("category_label", "snapshot_date").alias("g"), F.col("total_price").cast("double").alias("price")
+    ).agg(F.count("*").alias("n"))
+    whole = histogram.groupBy("g").agg(
+        F.sum("n").alias("total"),
+        F.min("price").alias("low"),
+        F.max("price").alias("high"),
+        # Summed as decimals, the mean is the same however the rows are dealt out.
+        (F.sum(F.col("price").cast("decimal(20,6)") * F.col("n")).cast("double") / F.sum("n")).alias("mean"),
     )
-    whole = Window.partitionBy(*group)
-    placed = histogram.withColumns(
-        {
-            "upto": F.sum("n").over(whole.orderBy("price")),
-            "total": F.sum("n").over(whole),
-            "mean": F.sum(F.col("price") * F.col("n")).over(whole) / F.sum("n").over(whole),
-        }
+    celled = histogram.join(whole, "g").withColumn("cell", _cell(F.col("price"), F.col("low"), F.col("high")))
+    carried = ("total", "low", "high", "mean")
+    counts = celled.groupBy("g", "cell").agg(
+        F.sum("n").alias("n"),
+        F.min("price").alias("low_in"),
+        F.max("price").alias("high_in"),
+        F.sum(F.col("n") * F.pow(F.col("price") - F.col("mean"), F.lit(2))).alias("square"),
+        *(F.max(c).alias(c) for c in carried),
     )
-
-    def quantile(q: float) -> Column:
-        place = (F.col("total") - 1) * q
-
-        def at(rank: Column) -> Column:
-            here = (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto"))
-            return F.max(F.when(here, F.col("price")))
-
-        low, high = at(F.floor(place)), at(F.ceil(place))
-        return low + (high - low) * F.max(place - F.floor(place))
-
-    square = F.sum(F.col("n") * F.pow(F.col("price") - F.col("mean"), F.lit(2)))
-    return placed.groupBy(*group).agg(
-        F.max("total").alias("offers"),
-        F.min("price").alias("min_price"),
-        F.max("price").alias("max_price"),
-        F.max("mean").alias("avg_price"),
-        F.when(F.max("total") > 1, F.sqrt(square / (F.max("total") - 1))).alias("stddev_price"),
-        quantile(0.25).alias("p25_price"),
-        quantile(0.5).alias("median_price"),
-        quantile(0.75).alias("p75_price"),
+    places = [(F.col("total") - 1) * q for q in _QUANTILES]
+    ranks = F.array(
+        *(F.struct(F.lit(2 * i + j).alias("k"), rank(p).cast("bigint").alias("rank")) for i, p in enumerate(places) for j, rank in enumerate((F.floor, F.ceil)))
+    )
+    before = F.col("upto") - F.col("n")
+    hit = F.filter(ranks, lambda r: (r["rank"] >= before) & (r["rank"] < F.col("upto")))
+    # At most one cell for each rank goes on, so a price is met by the ranks of its cell only.
+    first = (
+        _ranked(counts, ["g"], "cell")
+        .select("g", "cell", "low_in", "high_in", before.alias("before"), F.explode(hit).alias("r"))
+        .select("g", "cell", "low_in", "high_in", "r.k", (F.col("r.rank") - F.col("before")).alias("rank"))
+    )
+    inside = celled.select("g", "cell", "price", "n").join(first, ["g", "cell"])
+    inside = inside.withColumn("fine", _cell(F.col("price"), F.col("low_in"), F.col("high_in")))
+    chosen = (
+        _ranked(inside.groupBy("g", "k", "rank", "fine").agg(F.sum("n").alias("n")), ["g", "k"], "fine")
+        .where((F.col("rank") >= before) & (F.col("rank") < F.col("upto")))
+        .select("g", "k", "fine", (F.col("rank") - before).alias("left"))
+    )
+    last = _ranked(inside.join(chosen, ["g", "k", "fine"]).select("g", "k", "price", "n", "left"), ["g", "k"], "price")
+    values = last.where((F.col("left") >= before) & (F.col("left") < F.col("upto")))
+    at = values.groupBy("g").agg(*(F.max(F.when(F.col("k") == k, F.col("price"))).alias(f"v{k}") for k in range(2 * len(_QUANTILES))))
+
+    def quantile(i: int) -> Column:
+        low, high = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
+        return low + (high - low) * (places[i] - F.floor(places[i]))
+
+    spread = counts.groupBy("g").agg(F.sum("square").alias("square"), *(F.max(c).alias(c) for c in carried))
+    return spread.join(at, "g").select(
+        "g.category_label",
+        "g.snapshot_date",
+        F.col("total").alias("offers"),
+        F.col("low").alias("min_price"),
+        F.col("high").alias("max_price"),
+        F.col("mean").alias("avg_price"),
+        F.when(F.col("total") > 1, F.sqrt(F.col("square") / (F.col("total") - 1))).alias("stddev_price"),
+        *(quantile(i).alias(n) for i, n in enumerate(("p25_price", "median_price", "p75_price"))),
     )
 
 
@@ -83,27 +120,36 @@ def _stated_stock(gold: DataFrame) -> DataFrame:
 
 
 def competitor_moves(
-    offers: DataFrame, seller: str, as_of: AsOf = None, days: int = 14, gold: DataFrame | None = None
+    offers: DataFrame,
+    seller: str,
+    as_of: AsOf = None,
+    days: int = 14,
+    gold: DataFrame | None = None,
+    stock: DataFrame | None = None,
 ) -> DataFrame:
     """Days on which another seller changed price or stock, against the days before it on that product.
 
     The previous price and stock are the last known ones. Offers without a ``stock`` column, as in the silver table,
-    have the stock that the snapshots (``gold``) state for the buy-box holder, also on days without an offer of the
-    holder; the stock of other sellers is not landed. Rows are reduced to one per product, seller and day first, so a
-    window group is as long as the look-back at most.
+    have the stock that the snapshots (``gold``) state for the buy-box holder, and that product details state for any
+    seller (``stock``, see ``silver.seller_stock``), also on days without an offer; a stock that details state counts
+    before the snapshot's. Rows are reduced to one per product, seller and day first, so a window group is as long as the
+    look-back at most.
     """
     rows = recent_offers(offers, as_of, days)
     daily = daily_seller_prices(rows.where(P.other_seller(_seller(rows), seller)))
     if "stock" not in offers.columns:
-        if gold is None:
-            raise ValueError("offers have no stock column: pass the snapshots as gold")
-        stated = _stated_stock(recent(gold, as_of_date(as_of, offers), days))
-        daily = (
-            daily.drop("stock")
-            .unionByName(stated.where(P.other_seller(F.col("seller_key"), seller)), allowMissingColumns=True)
-            .groupBy("asin", "seller_key", "snapshot_date")
-            .agg(F.max("price").alias("price"), F.max("stock").alias("stock"))
-        )
+        if gold is None and stock is None:
+            raise ValueError("offers have no stock column: pass the snapshots as gold, or the sellers' stock")
+        today = as_of_date(as_of, offers)
+        daily = daily.drop("stock")
+        if gold is not None:
+            stated = _stated_stock(recent(gold, today, days)).withColumnRenamed("stock", "_held")
+            daily = daily.unionByName(stated.where(P.other_seller(F.col("seller_key"), seller)), allowMissingColumns=True)
+        if stock is not None:
+            stated = recent(stock, today, days).select("asin", "seller_key", "snapshot_date", F.col("stock").alias("_stated"))
+            daily = daily.unionByName(stated.where(P.other_seller(F.col("seller_key"), seller)), allowMissingColumns=True)
+        known = [F.max(c) for c in ("_stated", "_held") if c in daily.columns]
+        daily = daily.groupBy("asin", "seller_key", "snapshot_date").agg(F.max("price").alias("price"), F.coalesce(*known).alias("stock"))
     before = (
         Window.partitionBy("asin", "seller_key").orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, -1)
     )

@@ -68,7 +68,11 @@ def portfolio_health(
     With ``list_cap`` the lists hold the first names only: the rank filter cuts to the cap inside every task before the
     shuffle, so no side is collected whole. Without it one row holds all names; ``latest_standing`` has them as rows.
     """
-    standing = latest_standing(gold, offers, seller, as_of, days, offer_days)
+    return health_of(latest_standing(gold, offers, seller, as_of, days, offer_days), seller, list_cap)
+
+
+def health_of(standing: DataFrame, seller: str, list_cap: int | None = None) -> DataFrame:
+    """The summary row of a standing, however it was found."""
     counts = standing.agg(
         F.count("asin").alias("total"),
         F.count_if("is_winning").alias("won"),

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfscope.functions.variants import elements, get, members
 from shelfscope.operators.dedupe import first_seen, latest
 from shelfscope.operators.merge import days_of, stored_rows
-from shelfscope.schemas import SILVER_LISTING, SILVER_OFFERS, conform
+from shelfscope.schemas import SELLER_STOCK, SILVER_LISTING, SILVER_OFFERS, conform
 
 
 def _plain_label() -> Column:
@@ -53,6 +54,35 @@ def flat_offers(offer_rows: DataFrame) -> DataFrame:
     return first_seen(rows, OFFER_KEYS, [F.col("total_price")])
 
 
+def seller_stock(detail_rows: DataFrame) -> DataFrame:
+    """Price and stock that product details state for each seller: the buy box's and the other sellers'.
+
+    One row per product, seller and day, of the day's latest statement that has a stock, ties by the larger one. The
+    lists arrive as arrays or as one object; entries without a seller, or whose stock is no whole number, state nothing.
+    """
+
+    def listed(column: str) -> Column:
+        v = F.col(column)
+        return F.coalesce(elements(v), F.when(members(v).isNotNull(), F.array(v)), F.array().cast("array<variant>"))
+
+    at = F.col("extracted_at").try_cast("timestamp")
+    entry = F.col("entry")
+    seller = F.trim(F.coalesce(get(entry, "$.seller", "string"), get(entry, "$.seller_name", "string")))
+    rows = (
+        detail_rows.where("item_status = 'ok'")
+        .select("asin", at.alias("at"), at.cast("date").alias("snapshot_date"), F.explode(F.concat(listed("buybox"), listed("other_sellers"))).alias("entry"))
+        .select("asin", "at", "snapshot_date", seller.alias("seller_name"), get(entry, "$.price", "double").alias("price"), get(entry, "$.stock", "int").alias("stock"))
+        .where("seller_name <> '' and stock is not null")
+    )
+    latest_first = F.struct("at", "stock", "price")
+    return conform(
+        rows.groupBy("asin", F.lower("seller_name").alias("seller_key"), "snapshot_date").agg(
+            F.max("seller_name").alias("seller_name"), F.max_by("price", latest_first).alias("total_price"), F.max_by("stock", latest_first).alias("stock")
+        ),
+        SELLER_STOCK,
+    )
+
+
 def current_listing(listing_rows: DataFrame, scope: Sequence[str] = ("category_label", "node")) -> DataFrame:
     """Each product's newest listing row; active if seen in the newest extraction of its category.
 

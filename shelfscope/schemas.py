@@ -73,6 +73,11 @@ SILVER_OFFERS = _table(
     " category_label STRING, node STRING"
 )
 
+# What product details state of each seller.
+SELLER_STOCK = _table(
+    "asin STRING, snapshot_date DATE, seller_name STRING, seller_key STRING, total_price MONEY, stock INT"
+)
+
 SILVER_LISTING = _table(
     "asin STRING, category_label STRING, node STRING, title STRING, link STRING, position INT,"
     " page_number INT, rating DOUBLE, reviews BIGINT, extracted_price DOUBLE, last_seen_at TIMESTAMP,"
