@@ -50,8 +50,10 @@ PART_BYTES = 64 << 10
 RANGE_BYTES = 16 << 10
 FAN = 8
 FREQUENT_PAIRS = 500_000
-KEPT_UNITS = 700_000
+KEPT_UNITS = 200_000
 KEPT_CHARS = 16 << 20
+SLICE_BYTES = 1 << 20  # of text that a task holds as units at a time
+SLICE_PAIRS = 1 << 18
 JOINED_UNITS = 50_000
 SPACE = "▁"
 # A space that follows no white space, with something after it.
@@ -356,7 +358,7 @@ def _short(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
         table, row = _unit_table(paths), TaskContext.get().partitionId() << 33
         v = table.vocabularies
         for batch in batches:
-            for part, texts in pieces(batch):
+            for part, texts in pieces(batch, size=SLICE_BYTES):
                 units, bounds = split_all(texts, v.units)
                 numbers = table.numbers(units)
                 whole = segment_sums(~table.good[numbers], bounds) == 0
@@ -427,6 +429,16 @@ def _to_row(row: int, doc_id, start: int, good: bool, f: Fragment) -> dict:
     }
 
 
+def _whole_row(row: int, doc_id, good: bool, f: Fragment, n_b: int) -> dict:
+    """A text ends with a common end, so what it starts with closes and nothing is left open."""
+    c = closed_groups(f.prefix, n_b) + (f.closed or Closed()) if good else Closed()
+    pairs, times = _counted(c)
+    return {
+        "row": row, "doc_id": doc_id, "n_a": c.n_a, "n_b": c.n_b, "n_groups": c.n_groups, "n_links": c.n_links,
+        "groups_sha256": _hashed(";".join(c.text), c.n_a), "pairs": pairs, "times": times,
+    }
+
+
 def _of_row(r: dict) -> Fragment:
     if not r["common"]:
         return Fragment(Open(**r["prefix"]), None, Open())
@@ -466,16 +478,18 @@ def _arrow_types(schema: T.StructType) -> list[pa.DataType]:
     return [to_arrow_type(f.dataType) for f in schema]
 
 
-def _composed(fragments: DataFrame, n_b: int, width: int) -> DataFrame:
-    """Neighbouring fragments whose starts share a stretch of ``width`` bytes as one."""
-    schema = _fragment_schema(fragments.schema["doc_id"].dataType)
+def _composed(fragments: DataFrame, n_b: int, width: int, last: bool) -> DataFrame:
+    """Neighbouring fragments whose starts share a stretch of ``width`` bytes as one; the last round closes whole texts."""
+    doc_id = fragments.schema["doc_id"].dataType
+    schema = _aligned_schema(doc_id) if last else _fragment_schema(doc_id)
 
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["start"])
         whole = _of_row(rows[0])
         for r in rows[1:]:
             whole = whole.then(_of_row(r), n_b)
-        out = _to_row(rows[0]["row"], rows[0]["doc_id"], rows[0]["start"], all(r["good"] for r in rows), whole)
+        row, doc_id, good = rows[0]["row"], rows[0]["doc_id"], all(r["good"] for r in rows)
+        out = _whole_row(row, doc_id, good, whole, n_b) if last else _to_row(row, doc_id, rows[0]["start"], good, whole)
         return pa.Table.from_pylist([out], pa.schema([(f.name, t) for f, t in zip(schema, _arrow_types(schema), strict=True)]))
 
     return fragments.groupBy("row", F.floor(F.col("start") / width)).applyInArrow(run, schema)
@@ -483,28 +497,16 @@ def _composed(fragments: DataFrame, n_b: int, width: int) -> DataFrame:
 
 def _long(docs: DataFrame, paths: tuple[str, str], part_bytes: int, range_bytes: int) -> DataFrame:
     """Rows of ``_ALIGNED`` for long texts, by composing fragments in rounds of tasks."""
-    schema = _aligned_schema(docs.schema["doc_id"].dataType)
     parts = stored(_parts(docs, paths, part_bytes), "parts")
     longest, n_b = parts.agg(F.max("start")).first()[0] or 0, _loaded(paths).n_b
     whole, width = _fragments(parts, paths, range_bytes), range_bytes
-    while True:
+    # The last round works in the task that composes: a second Python worker beside it would keep memory of its own.
+    last = False
+    while not last:
         width *= FAN
-        whole = _composed(whole, n_b, width)
-        if width > longest:
-            break
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                f = _of_row(r)
-                # A whole text ends with a common end, so its open start closes and nothing is left open.
-                closed = closed_groups(f.prefix, n_b) + (f.closed or Closed()) if r["good"] else Closed()
-                pairs, times = _counted(closed)
-                text = _hashed(";".join(closed.text), closed.n_a)
-                columns = [r["row"], r["doc_id"], closed.n_a, closed.n_b, closed.n_groups, closed.n_links, text, pairs, times]
-                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(columns, _arrow_types(schema), strict=True)], schema.names)
-
-    return whole.mapInArrow(run, schema)
+        last = width > longest
+        whole = _composed(whole, n_b, width, last)
+    return whole
 
 
 def aligned(
@@ -554,6 +556,16 @@ def alignment(
     return found.select("doc_id", *_COUNTS, "n_best", "count_sum", "groups_sha256")
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Stretches of a batch with about SLICE_PAIRS pairs each."""
+    ends = np.cumsum(np.diff(batch.column("pairs").offsets.to_numpy()))
+    start = 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + SLICE_PAIRS, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     pairs, times = batch.column("pairs"), batch.column("times")
     sizes = np.diff(pairs.offsets.to_numpy())
@@ -567,7 +579,8 @@ def _place(codes: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _frequent_sums(codes: np.ndarray, n: np.ndarray, best: np.ndarray, plain: tuple[str, ...]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        _TABLES.clear()  # the units that this worker kept are done with
+        for batch in chain.from_iterable(map(_slices, batches)):
             owners, pairs, times = _flat(batch)
             at, hit = _place(codes, pairs)
             owners, at, times = owners[hit], at[hit], times[hit]
@@ -583,7 +596,8 @@ def _frequent_sums(codes: np.ndarray, n: np.ndarray, best: np.ndarray, plain: tu
 
 def _rare_pairs(codes: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        _TABLES.clear()
+        for batch in chain.from_iterable(map(_slices, batches)):
             owners, pairs, times = _flat(batch)
             rare = ~_place(codes, pairs)[1]
             rows = batch.column("row").to_numpy()[owners[rare]]

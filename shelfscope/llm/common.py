@@ -57,14 +57,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     return docs.select("doc_id", "text").where("text is not null").join(chosen, "doc_id")
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of a batch with at most PIECE_BYTES of text each, and their texts (NULL as None)."""
+def pieces(batch: pa.RecordBatch, column: str = "text", size: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of a batch with at most ``size`` bytes of text each, and their texts (NULL as None)."""
     lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths)
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + PIECE_BYTES, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
         part = batch.slice(start, stop - start)
         yield part, part.column(column).to_pylist()
         start = stop
