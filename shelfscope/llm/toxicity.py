@@ -1,8 +1,8 @@
 """Toxic spans and document scores by a linear-chain conditional random field.
 
 Tokens get labels from the labelled documents: a token is marked when its word or its prefix is tied to toxic
-documents beyond chance (a likelihood-ratio test); in samples too small for that, the words best supported by
-several documents are. A two-label field (plain, toxic) over word, prefix,
+documents beyond chance, by a likelihood ratio over documents whose threshold grows with the number of words tested; in
+samples too small to reach it, the best supported words are. A two-label field (plain, toxic) over word, prefix,
 suffix, shape and neighbour features is trained on them by gradient ascent. Forward-backward marginals of every token of a whole
 text give its offending spans and, through a small calibrated layer, the document score.
 
@@ -32,8 +32,8 @@ BUCKETS = 1 << 17
 MARK_BUCKETS = 1 << 22  # for counting words and prefixes by hash
 ROUNDS = 25
 RATE = 0.4
-EVIDENCE = 40.0  # likelihood ratio that marks a word or prefix
-SMALLEST_PURITY = 0.9  # share of its contexts that lie in toxic documents
+FEWEST_DOCUMENTS = 2  # toxic ones that share a marked word or prefix
+SMALLEST_PURITY = 0.9  # share of its documents, and of its contexts, that are toxic
 RIDGE = 1e-3
 THRESHOLD = 0.7
 SPAN_MARGINAL = 0.5
@@ -191,8 +191,8 @@ def _ratio(with_toxic: np.ndarray, with_all: np.ndarray, toxic: int, total: int)
 def marked_words(words: list[str], docs: list[np.ndarray], truth: np.ndarray) -> np.ndarray:
     """Which distinct words are labelled toxic: they or one of their prefixes are tied to toxic documents.
 
-    Evidence is counted in distinct contexts (the word with its neighbours), so copies of a document count once. With few
-    labels nothing reaches EVIDENCE; then the words and prefixes with the largest ratio over documents are marked.
+    Evidence is counted in documents that have the word in a context of their own (the word with its neighbours). The ratio
+    asked for is what the largest of all tested words and prefixes would reach by chance, or the largest that there is.
     """
     part, sizes = array("i"), array("i")
     for word in words:
@@ -215,41 +215,41 @@ def marked_words(words: list[str], docs: list[np.ndarray], truth: np.ndarray) ->
     by = by[fresh]
     kept = np.zeros(len(tokens), bool)
     kept[by] = True
-    seen = np.bincount(tokens[by], minlength=len(words))
-    bad = np.bincount(tokens[by], (contexts[by] & np.uint64(1)) == 0, len(words))
-    toxic, total = int(bad.sum()), int(seen.sum())
+    uses = np.bincount(tokens[by], minlength=len(words))
+    bad_uses = np.bincount(tokens[by], (contexts[by] & np.uint64(1)) == 0, len(words))
     # Only buckets that occur are counted.
     used, part = np.unique(part, return_inverse=True)
-    seen, bad = np.bincount(part, seen[owner], len(used)), np.bincount(part, bad[owner], len(used))
-    pure = bad >= SMALLEST_PURITY * seen
-    strong = pure & (_ratio(bad, np.maximum(seen, 1), toxic, total) >= EVIDENCE)
-    if not strong.any():
-        strong = _best_supported(docs, kept, truth, part, owner, pure)
+    uses, bad_uses = np.bincount(part, uses[owner], len(used)), np.bincount(part, bad_uses[owner], len(used))
+    seen, bad, toxic, total = _documents_with(docs, kept, truth, part, owner, len(used))
+    able = (bad >= FEWEST_DOCUMENTS) & (bad >= SMALLEST_PURITY * seen) & (bad_uses >= SMALLEST_PURITY * uses)
+    if not able.any():
+        return np.zeros(len(words), bool)
+    ratio = _ratio(bad, np.maximum(seen, 1), toxic, total)
+    # What the largest of so many ratios reaches by chance; the best supported buckets count in any sample.
+    chance = 2 * np.log(max(int((seen >= 2).sum()), 1))
+    strong = able & (ratio >= min(chance, ratio[able].max()))
     return np.bincount(owner, strong[part], len(words)) > 0
 
 
-def _best_supported(docs: list[np.ndarray], kept: np.ndarray, truth: np.ndarray, part: np.ndarray, owner: np.ndarray, pure: np.ndarray) -> np.ndarray:
-    """Which pure buckets have the largest ratio over documents, of those in two toxic documents at least.
+def _documents_with(docs: list[np.ndarray], kept: np.ndarray, truth: np.ndarray, part: np.ndarray, owner: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """For each bucket the documents and the toxic documents that have it, and the numbers of both.
 
-    A document counts for the words that it has in a context of its own (``kept``): with few labels, a word that one
-    document repeats would outweigh one that several share.
+    A document counts for the words that it has in a context of its own (``kept``), so copies count once, and a word that
+    one document repeats counts once.
     """
     starts = np.searchsorted(owner, np.arange(owner[-1] + 2))
-    seen, bad = np.zeros(len(pure), np.int64), np.zeros(len(pure), np.int64)
+    seen, bad = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
     low = toxic = total = 0
     for mine, label in zip(docs, truth):
         own = np.unique(mine[kept[low : low + len(mine)]])
         low += len(mine)
         if len(own):
-            parts = np.unique(np.concatenate([part[starts[w] : starts[w + 1]] for w in own.tolist()]))
+            n = starts[own + 1] - starts[own]
+            parts = np.unique(part[np.repeat(starts[own] - np.cumsum(n) + n, n) + np.arange(n.sum())])
             seen[parts] += 1
             bad[parts] += label
             total, toxic = total + 1, toxic + int(label)
-    able = pure & (bad >= 2) & (bad >= SMALLEST_PURITY * seen)
-    if not able.any():
-        return able
-    ratio = _ratio(bad, np.maximum(seen, 1), toxic, total)
-    return able & (ratio >= ratio[able].max())
+    return seen, bad, toxic, total
 
 
 def _tagged(model: ToxicModel, table: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

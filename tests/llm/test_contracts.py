@@ -30,9 +30,9 @@ def result(spark):
     made = {}
 
     def get(name, sf_dir=SF_DIR):
-        if name not in made:
-            made[name] = [r.asDict(recursive=True) for r in queries.QUERIES[name](spark, sf_dir).collect()]
-        return made[name]
+        if (name, sf_dir) not in made:
+            made[name, sf_dir] = [r.asDict(recursive=True) for r in queries.QUERIES[name](spark, sf_dir).collect()]
+        return made[name, sf_dir]
 
     return get
 
@@ -76,6 +76,23 @@ def test_op1_held_out_accuracy(spark, result):
     assert len(held) > 500 and sum(p == t for p, t in held) / len(held) > 0.97
 
 
+PLAINLY = set("idiot clown loser worthless pathetic trash scum disgusting moron stupid".split())
+
+
+def test_op1_marks_few_clean_documents_and_spans_of_toxic_words(spark, result):
+    """On a table with some 280 learned labels: clean labels stay, and spans are words that toxic documents share."""
+    rows = {r["doc_id"]: r for r in result("op1_toxicity", PIPE_DIR)}
+    texts = {r["doc_id"]: r["text"] or "" for r in table(spark, PIPE_DIR, "documents").collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in table(spark, PIPE_DIR, "labels").where("toxic is not null").collect()}
+    clean = [d for d, x in labels.items() if x == 0 and rows[d]["held_out"]]
+    assert sum(rows[d]["predicted"] for d in clean) <= 0.03 * len(clean)
+    plainly = {d for d, t in texts.items() if PLAINLY & set(re.findall(r"\w+", t.lower()))}
+    predicted = {d for d, r in rows.items() if r["predicted"]}
+    assert plainly <= predicted and len(predicted - plainly) <= 0.02 * len(rows)
+    spans = [texts[d][s["start"] : s["end"]].lower() for d, r in rows.items() for s in r["toxic_spans"]]
+    assert len(spans) > 100 and sum(any(w in s or s in w for w in PLAINLY) for s in spans) >= 0.8 * len(spans)
+
+
 def test_op1_finds_words_with_few_labels(texts, result):
     """The smallest table has six toxic labels to learn from; a model that scores 0 finds none of these."""
     plainly = set("idiot clown loser worthless pathetic trash scum disgusting moron stupid".split())
