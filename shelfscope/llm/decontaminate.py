@@ -7,8 +7,9 @@ words under tiles is its coverage; since tiles may lie in any order, a passage w
 covered as well as a straight copy. A document is contaminated when the coverage of some item reaches ``COVERAGE``.
 
 Items meet the documents in blocks of bounded size (``BLOCK_CHARS``), one narrow pass over the documents for each, so
-neither side is shuffled. Items of fewer than ``SEED`` words cannot be told from chance and never match. NULL and empty texts are
-clean. Repeated rows give repeated results; ties go to the smallest item_id. Other columns are kept and not read.
+neither side is shuffled. An item of fewer than ``SEED`` words is its own seed and matches where all of it occurs in a row.
+In scripts that set no spaces between words, each character is a word. Items without a word never match. NULL and empty
+texts are clean. Repeated rows give repeated results; ties go to the smallest item_id. Other columns are kept and not read.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from shelfscope.llm.common import WordTable, batch_of, out_schema, over_texts, s
 SEED = 5
 COVERAGE = 0.5
 BLOCK_CHARS = 16 << 20  # benchmark text sent to the tasks at a time
-_WORD = re.compile(r"\w+")
+# Ranges of scripts without spaces between words (kana, Han, Thai to Lao, Myanmar, Khmer).
+_UNSPACED = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+_WORD = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -103,6 +106,11 @@ class _Block:
         self.seed, self.names = seed, [i for i, _ in items]
         self.codes = WordTable(lambda words: np.zeros(len(words)), limit=1 << 62)
         self.items = [self._codes(words_of(text)) for _, text in items]
+        # Short items by their number of words: hash of the whole item, and the item.
+        self.short: dict[int, list[tuple[int, int]]] = {}
+        for i, codes in enumerate(self.items):
+            if 0 < len(codes) < seed:
+                self.short.setdefault(len(codes), []).append((int(_windows(codes, len(codes))[0]), i))
         hashes = [np.unique(_windows(c, seed)) for c in self.items]
         owner = np.repeat(np.arange(len(items)), [len(h) for h in hashes])
         seeds = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
@@ -136,6 +144,24 @@ class _Block:
         return out
 
 
+    def whole_items(self, codes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:
+        """(document, item) where all words of a short item stand in a row."""
+        out = set()
+        for size, items in self.short.items():
+            hashes = _windows(codes, size)
+            wanted = np.sort(np.array([h for h, _ in items], np.uint64))
+            near = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
+            by_hash: dict[int, list[int]] = {}
+            for h, i in items:
+                by_hash.setdefault(h, []).append(i)
+            for place in np.flatnonzero(wanted[near] == hashes).tolist():
+                doc = int(np.searchsorted(bounds, place, "right")) - 1
+                if place + size <= bounds[doc + 1]:
+                    found = codes[place : place + size]
+                    out.update((doc, i) for i in by_hash[int(hashes[place])] if (self.items[i] == found).all())
+        return sorted(out)
+
+
 def _blocks(benchmark: DataFrame, block_chars: int) -> list[DataFrame]:
     """The benchmark in parts of bounded text."""
     usable = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
@@ -166,14 +192,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, block_chars
                 codes = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
                 codes = (codes + 1).astype(np.uint64)
                 hashes = _windows(codes, seed)
-                if not len(hashes) or not len(known.seeds):
-                    return None
-                near = np.minimum(np.searchsorted(known.seeds, hashes), len(known.seeds) - 1)
-                shared = np.flatnonzero(known.seeds[near] == hashes)
+                shared = np.zeros(0, np.int64)
+                if len(hashes) and len(known.seeds):
+                    near = np.minimum(np.searchsorted(known.seeds, hashes), len(known.seeds) - 1)
+                    shared = np.flatnonzero(known.seeds[near] == hashes)
                 doc = np.searchsorted(bounds, shared, "right") - 1
                 inside = shared + seed <= bounds[doc + 1]
                 shared, doc = shared[inside], doc[inside]
                 rows, items, coverage, count = [], [], [], []
+                for d, item in known.whole_items(codes, bounds):
+                    rows.append(d)
+                    items.append(known.names[item])
+                    coverage.append(1.0)
+                    count.append(1)
                 for d in np.unique(doc).tolist():
                     for item, share, n in known.document(codes, hashes, shared[doc == d]):
                         rows.append(d)
@@ -195,7 +226,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, block_chars
 def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, contaminated, item_ids, best_item, best_coverage) of every document id that shares a seed with an item."""
     found = matches(docs, benchmark)
-    best = F.max_by("item_id", F.struct("coverage", -F.col("item_id")))
+    best = F.min_by("item_id", F.struct(-F.col("coverage"), "item_id"))
     leaked = F.sort_array(F.collect_set(F.when(F.col("coverage") >= coverage, F.col("item_id"))))
     return found.groupBy("doc_id").agg(
         (F.max("coverage") >= coverage).alias("contaminated"), leaked.alias("item_ids"), best.alias("best_item"), F.max("coverage").alias("best_coverage")
