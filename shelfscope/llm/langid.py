@@ -116,16 +116,30 @@ def _mixture(likely: np.ndarray, bounds: np.ndarray, allowed: np.ndarray) -> tup
     return share, segment_sums(gain, bounds)
 
 
+def _may_have_more(likely: np.ndarray, bounds: np.ndarray, share: np.ndarray, gain: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Texts whose penalised likelihood might be least with several languages; for the others, one is proven to be best.
+
+    The log likelihood is concave in the shares, so no shares lie above a mixture's value by more than its largest slope
+    towards one language. Two languages or more cost one penalty more than one.
+    """
+    sizes = np.diff(bounds)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    mixed = np.maximum((likely * share[owner].astype(np.float32)).sum(1, keepdims=True), 1e-30)
+    highest = gain + segment_sums(likely / mixed, bounds).max(1, initial=0) - sizes
+    alone = segment_sums(np.log(np.maximum(likely[np.arange(len(owner)), first[owner]], 1e-30)), bounds)
+    return highest - alone > PENALTY * np.log(np.maximum(sizes, 2)) - 1e-3
+
+
 def mixtures(likely: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Shares per text over the language set of least penalised likelihood."""
     sizes = np.diff(bounds)
     likely = np.exp(likely - likely.max(1, keepdims=True))
     k = likely.shape[1]
-    full, _ = _mixture(likely, bounds, np.ones((len(sizes), k)))
+    full, gain = _mixture(likely, bounds, np.ones((len(sizes), k)))
     order = np.argsort(-full, axis=1, kind="stable")
     best_share = np.zeros((len(sizes), k))
     best_share[np.arange(len(sizes)), order[:, 0]] = 1.0
-    open_ = np.flatnonzero(full[np.arange(len(sizes)), order[:, 0]] < 0.995)  # the rest have one language
+    open_ = np.flatnonzero(_may_have_more(likely, bounds, full, gain, order[:, 0]))
     if len(open_) and k > 1:
         words = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in open_])
         some, some_bounds = likely[words], np.concatenate([[0], np.cumsum(sizes[open_])])
