@@ -5,7 +5,9 @@ and line key; ``counts`` (key, n_docs, holder), the exact reference counts with
 and ``filters``, one cuckoo filter per shard over the keys found in at least ``min_docs`` documents. ``insert`` and
 ``delete`` bring counts up to date from the touched keys only and add or take out the filter entries of keys that
 cross the threshold, so deleting documents undoes their insertion. ``apply`` asks the filters first (almost every line
-is answered there) and settles their yes answers with the exact counts.
+is answered there) and settles their yes answers with the exact counts. Filters of bounded size are sent to the documents'
+tasks; beyond that size, line keys are dealt out by shard and stream past the shard's filter. The state of an index is
+written with each change, and ``LineIndex.open`` goes on from the newest one in a folder.
 
 A key is the 128-bit digest of a line with outer white space removed and A-Z lower-cased, if it has ``min_chars`` code
 points or more. NULL and empty texts are one empty line. Rows that repeat a doc_id count as one document. Rows with a NULL doc_id
@@ -23,14 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscope.llm.common import batch_of, out_schema, over_texts, scratch
+from shelfscope.llm.common import batch_of, out_schema, over_texts, pieces, scratch
 
 MIN_DOCS = 5
 MIN_CHARS = 40
 # Keys a filter shard is planned for; the number of shards grows with the keys.
 SHARD_KEYS = 200_000
-# All filters together may be sent to the tasks up to this size; beyond it the keys are joined with the counts.
+# All filters together may be sent to the tasks up to this size; beyond it keys and filters meet by shard.
 FILTER_BYTES = 32 << 20
+# Tasks that share the keys of one shard, each with a copy of its filter.
+SHARD_TASKS = 16
 _EDGE = " \t\n\x0b\x0c\r"
 _SLOTS = 4
 
@@ -172,10 +176,31 @@ class LineIndex:
         self.postings: DataFrame | None = None
         self.counts: DataFrame | None = None
         self.filters: DataFrame | None = None
+        self.paths: dict[str, str] = {}
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> LineIndex:
+        """The index as its last finished change left it in ``folder``."""
+        states = spark.read.schema("version int, shards int, min_docs int, min_chars int, tables map<string,string>").json(f"{folder}/states/*")
+        state = states.orderBy(F.col("version").desc()).first()
+        index = cls(spark, state["min_docs"], state["min_chars"], folder)
+        index.version, index.shards, index.paths = state["version"], state["shards"], state["tables"]
+        index.postings, index.counts, index.filters = (spark.read.parquet(index.paths[n]) for n in ("postings", "counts", "filters"))
+        return index
+
+    def _save(self) -> None:
+        """Written last, so a change that was cut short leaves the state before it."""
+        tables = F.create_map(*(F.lit(x) for item in sorted(self.paths.items()) for x in item))
+        row = self.spark.range(1, numPartitions=1).select(
+            *(F.lit(v).alias(n) for n, v in (("version", self.version), ("shards", self.shards), ("min_docs", self.min_docs), ("min_chars", self.min_chars))),
+            tables.alias("tables"),
+        )
+        row.write.mode("overwrite").json(f"{self.folder}/states/v{self.version}")
 
     def _written(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/v{self.version}/{name}"
         df.write.mode("overwrite").parquet(path)
+        self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _counted(self, postings: DataFrame) -> DataFrame:
@@ -186,7 +211,7 @@ class LineIndex:
         self.version += 1
         added = self._written(_keys_of(docs, self.min_chars), "added")
         if self.postings is None:
-            self.postings = added
+            self.postings, self.paths["postings"] = added, self.paths["added"]
             fresh = self._counted(added)
             return self._settle(None, fresh)
         # A document may be given again: only its new pairs are added.
@@ -230,15 +255,21 @@ class LineIndex:
                 self.shards, self.filters = -(-n // SHARD_KEYS), None
                 crossed = frequent.select("key", F.lit(1).alias("step"))
         self.filters = self._written(self._moved(crossed), "filters")
+        self.paths = {n: self.paths[n] for n in ("postings", "counts", "filters")}
+        self._save()
         return self
 
-    def _moved(self, crossed: DataFrame) -> DataFrame:
+    def _shard(self):
+        """The number of a key's shard, as a column function."""
         shards = self.shards
 
         def number(keys: pd.Series) -> pd.Series:
             return pd.Series((_halves(keys.tolist())[0] % np.uint64(shards)).astype(np.int64)) if len(keys) else pd.Series([], dtype="int64")
 
-        shard = F.pandas_udf(number, "long")
+        return F.pandas_udf(number, "long")
+
+    def _moved(self, crossed: DataFrame) -> DataFrame:
+        shard = self._shard()
         old = self.filters if self.filters is not None else self.spark.createDataFrame([], "shard long, filter binary")
 
         def rebuild(key: tuple, stored: pd.DataFrame, moves: pd.DataFrame) -> pd.DataFrame:
@@ -252,15 +283,41 @@ class LineIndex:
         moves = crossed.withColumn("shard", shard("key"))
         return old.groupBy("shard").cogroup(moves.groupBy("shard")).applyInPandas(rebuild, "shard long, filter binary")
 
+    def _asked(self, keys: DataFrame) -> DataFrame:
+        """The (doc_id, key) rows that the filters may hold. Rows of a shard are sorted behind its filter and stream past it."""
+        task = F.pmod(F.xxhash64("doc_id"), F.lit(SHARD_TASKS)).cast("int")
+        rows = keys.select(self._shard()("key").alias("shard"), task.alias("task"), F.lit(None).cast("binary").alias("filter"), "doc_id", "key")
+        copies = self.filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SHARD_TASKS - 1))).alias("task"), "filter")
+        both = copies.unionByName(rows, allowMissingColumns=True)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at, one = None, None
+            for batch in batches:
+                places = np.stack([batch.column(c).to_numpy() for c in ("shard", "task")], 1)
+                changes = np.flatnonzero((places[1:] != places[:-1]).any(1)) + 1
+                kept = np.zeros(batch.num_rows, bool)
+                for start, stop in zip([0, *changes.tolist()], [*changes.tolist(), batch.num_rows], strict=True):
+                    if tuple(places[start]) != at:
+                        at, one = tuple(places[start]), None
+                        if (data := batch.column("filter")[start].as_py()) is not None:
+                            one, start = CuckooFilter.from_bytes(data), start + 1
+                    if one is not None and start < stop:
+                        kept[start:stop] = one.has(_halves(batch.column("key").slice(start, stop - start).to_pylist())[1])
+                yield batch.select(["doc_id", "key"]).filter(pa.array(kept))
+
+        dealt = both.repartition("shard", "task").sortWithinPartitions("shard", "task", F.col("filter").isNull())
+        return dealt.mapInArrow(run, keys.schema)
+
     def doomed(self, docs: DataFrame) -> DataFrame:
         """(doc_id, keys): the keys whose lines a document loses."""
         total = self.filters.agg(F.sum(F.length("filter"))).first()[0] or 0
-        filters = None
         if total <= FILTER_BYTES:
             sent = self.spark.sparkContext.broadcast({r["shard"]: bytes(r["filter"]) for r in self.filters.collect()})
-            filters = (self.shards, sent)
+            asked = _keys_of(docs, self.min_chars, (self.shards, sent))
+        else:
+            asked = self._asked(_keys_of(docs, self.min_chars))
         frequent = self.counts.where(F.col("n_docs") >= self.min_docs).select("key", "holder")
-        hits = _keys_of(docs, self.min_chars, filters).join(frequent, "key")
+        hits = asked.join(frequent, "key")
         return hits.where(F.col("doc_id") != F.col("holder")).groupBy("doc_id").agg(F.collect_set("key").alias("doomed_keys"))
 
     def apply(self, docs: DataFrame) -> DataFrame:
@@ -269,9 +326,9 @@ class LineIndex:
         min_chars = self.min_chars
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch, texts in (piece for whole in batches for piece in pieces(whole)):
                 n_lines, n_dropped, kept = [], [], []
-                for text, keys in zip(batch.column("text").to_pylist(), batch.column("doomed_keys").to_pylist()):
+                for text, keys in zip(texts, batch.column("doomed_keys").to_pylist()):
                     lines = (text or "").split("\n")
                     gone = set(keys or ())
                     left = [line for line in lines if line_key(line, min_chars) not in gone] if gone else lines
@@ -298,12 +355,12 @@ def deduplicated(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, here in (piece for whole in batches for piece in pieces(whole)):
             keys = batch.column("lost_keys")
             out = batch.drop_columns(["lost_doc_id", "lost_keys"])
             if keys.null_count < len(keys):
                 texts = []
-                for text, lost_here in zip(batch.column("text").to_pylist(), keys.to_pylist()):
+                for text, lost_here in zip(here, keys.to_pylist()):
                     gone = set(lost_here or ())
                     texts.append("\n".join(x for x in text.split("\n") if line_key(x, min_chars) not in gone) if gone else text)
                 out = out.set_column(out.schema.get_field_index("text"), out.schema.field("text"), pa.array(texts, pa.string()))
