@@ -3,7 +3,9 @@
 Patterns give the plain findings (``assign``, ``access``, ``hex``). Beyond them, text that looks like an encoded
 key is decoded and parsed, and reported only when its structure holds: a private-key block or a base64 or hex run
 whose bytes are nested DER or an OpenSSH key whose declared lengths fit (``key``), and a signed token whose header
-is JSON naming an algorithm (``jwt``). Spans are code points of the whole text, end exclusive.
+is JSON naming an algorithm (``jwt``). Base64 may be wrapped over lines, also as a string literal with escaped line breaks,
+with or without the lines of a block; a block may have header lines, and if they say that it is encrypted, its body has no
+structure and must decode to whole cipher blocks. Hex may mix cases. Spans are code points of the whole text, end exclusive.
 
 NULL and empty texts have no spans (zero counts, the digest of the empty string, empty ``spans``). Repeated rows give
 repeated results; other columns of the input are not read, so their names do not matter.
@@ -27,10 +29,18 @@ KINDS = ("assign", "access", "hex", "key", "jwt")
 _ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # runs are whole, so a bound in the pattern equals a check after it
-_BLOCK = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-_JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
+# A line break, as such or as a string literal spells it.
+_BREAK = r"(?:\s|\\r|\\n)"
+_BLOCK = re.compile(
+    rf"-----BEGIN ([A-Z0-9 ]{{0,40}}PRIVATE KEY)-----{_BREAK}*((?:[A-Za-z][A-Za-z0-9-]*:(?:(?!\\[rn])[^\r\n])*{_BREAK}+)*)((?:[A-Za-z0-9+/=]|{_BREAK})+)-----END \1-----"
+)
+# Base64 of an opening brace, a white space or nothing, and a quote.
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
-_LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9a-f]{64,}|[0-9A-F]{64,})(?![0-9A-Fa-f])")
+# Full lines of base64 and a last one; each of 16 characters or more, so that prose is none.
+_WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{{32,}}(?:{_BREAK}{{1,4}}[A-Za-z0-9+/]{{32,}})*(?:{_BREAK}{{1,4}}[A-Za-z0-9+/]*={{0,2}})?")
+_LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}(?![0-9A-Fa-f])")
+_CIPHER_BLOCK = 8  # bytes; longer blocks are multiples of it
 _HINTS = ("assw", "secret", "token", "api")
 SHORTEST_RUN = 20  # no kind but ``assign`` has a shorter run without white space; a key block starts with dashes
 
@@ -77,7 +87,7 @@ def is_key(data: bytes) -> bool:
 
 
 def _base64(text: str) -> bytes | None:
-    plain = re.sub(r"\s+", "", text).translate(str.maketrans("-_", "+/")).rstrip("=")
+    plain = re.sub(_BREAK, "", text).translate(str.maketrans("-_", "+/")).rstrip("=")
     try:
         return base64.b64decode(plain + "=" * (-len(plain) % 4), validate=True)
     except (binascii.Error, ValueError):
@@ -109,10 +119,10 @@ def confirmed_spans(text: str) -> Iterator[tuple[int, int, int]]:
     blocks = []
     if "PRIVATE KEY-----" in text:
         for m in _BLOCK.finditer(text):
-            if (data := _base64(m[2])) and is_key(data):
+            if (data := _base64(m[3])) and (_is_encrypted(m[2], data) or is_key(data)):
                 blocks.append(m.span())
                 yield m.start(), 3, m.end()
-    for m in _JWT.finditer(text) if "eyJ" in text else ():
+    for m in _JWT.finditer(text) if "ey" in text or "ew" in text else ():
         if _is_token_header(m[1]):
             yield m.start(), 4, m.end()
     seen = set()
@@ -123,7 +133,52 @@ def confirmed_spans(text: str) -> Iterator[tuple[int, int, int]]:
     for m in _BASE64.finditer(text):
         inside = any(a <= m.start() and m.end() <= b for a, b in blocks)
         if not inside and m.span() not in seen and (data := _base64(m[0])) and is_key(data):
+            blocks.append(m.span())
             yield m.start(), 3, m.end()
+    for m in _WRAPPED.finditer(text):
+        if any(a < m.end() and m.start() < b for a, b in blocks) or not re.search(_BREAK, m[0]):
+            continue
+        if end := _key_length(text, m.start(), m.end()):
+            yield m.start(), 3, end
+
+
+def _is_encrypted(headers: str, data: bytes) -> bool:
+    """The headers of a block name a cipher, and its body is made of whole blocks of one."""
+    return "ENCRYPTED" in headers and "DEK-Info:" in headers and len(data) >= 64 and len(data) % _CIPHER_BLOCK == 0
+
+
+def _key_length(text: str, start: int, stop: int) -> int | None:
+    """Where a key that begins with wrapped base64 at ``start`` ends by the length that it declares; None without a key.
+
+    What follows a key may look like base64 too, so the first bytes say how much of the stretch belongs to it.
+    """
+    places = [(i, text[i]) for i in _base64_places(text, start, stop)]
+    head = _base64("".join(c for _, c in places[:32]))
+    if not head or head[0] != 0x30 or len(head) < 8:
+        return None
+    size = head[1] & 0x7F if head[1] & 0x80 else 0
+    if size > 4:
+        return None
+    length = 2 + size + (int.from_bytes(head[2 : 2 + size], "big") if size else head[1])
+    chars = -(-length * 4 // 3)
+    if chars > len(places) or not (data := _base64("".join(c for _, c in places[:chars]))) or not is_key(data[:length]):
+        return None
+    end = places[chars - 1][0] + 1
+    while end < stop and text[end] == "=":
+        end += 1
+    return end
+
+
+def _base64_places(text: str, start: int, stop: int) -> Iterator[int]:
+    """Places of the base64 characters; an escaped line break is none of them."""
+    i = start
+    while i < stop:
+        if text[i] == "\\":
+            i += 2
+        else:
+            if not text[i].isspace() and text[i] != "=":
+                yield i
+            i += 1
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
