@@ -112,6 +112,94 @@ def test_line_index_is_reversible(spark):
     assert state(index) == before and index.doomed(first).count() == 0
 
 
+@pytest.mark.parametrize("most", [line_dedup.FILTER_BYTES, 0])
+def test_filters_of_any_size_answer_alike(spark, monkeypatch, most):
+    """Beyond the size that is sent, keys stream past their shard's filter; a line in a third of all documents is one key."""
+    monkeypatch.setattr(line_dedup, "FILTER_BYTES", most)
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 20)
+    hot = "a line that every third of all documents holds, hot as can be"
+    own = [f"line number {i % 130} that a few documents share, and no more than that" for i in range(900)]
+    docs = spark.createDataFrame([(i, f"{own[i]}\n{hot if i % 3 == 0 else i}\n{own[-i]}") for i in range(900)] + [(None, hot)], "doc_id long, text string")
+    index = line_dedup.LineIndex(spark).insert(docs)
+    assert index.shards > 3 and index.filters.count() > 3
+    holders = {}
+    for i in range(900):
+        for line in {own[i], own[-i], *([hot] if i % 3 == 0 else [])}:
+            holders.setdefault(line, []).append(i)
+    want = {i: {line_dedup.line_key(x, 40) for x, ids in holders.items() if len(ids) >= 5 and i in ids and i != max(ids)} for i in range(900)}
+    got = {r["doc_id"]: set(map(bytes, r["doomed_keys"])) for r in index.doomed(docs).collect()}
+    assert got == {i: keys for i, keys in want.items() if keys}
+
+
+def test_index_goes_on_from_its_folder(spark, tmp_path):
+    line = "a line that is long enough to have a key of its own"
+    make = lambda ids: spark.createDataFrame([(i, line) for i in ids], "doc_id long, text string")
+    line_dedup.LineIndex(spark, folder=str(tmp_path / "index")).insert(make(range(4))).insert(make([9]))
+    index = line_dedup.LineIndex.open(spark, str(tmp_path / "index"))
+    assert index.version == 2 and {r["doc_id"] for r in index.doomed(make(range(10))).collect()} == set(range(9))
+    index.delete(make([0, 9]).select("doc_id"))
+    again = line_dedup.LineIndex.open(spark, str(tmp_path / "index"))
+    assert again.version == 3 and again.doomed(make(range(4))).count() == 0
+    assert [(r["n_docs"], r["holder"]) for r in again.counts.collect()] == [(3, 3)]
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    items = [("s", "Hello, world"), ("one", "Zebra!"), ("han", "今日は天気がとても良いです"), ("none", "…"), ("long", "one two three four five six seven")]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    texts = ["say hello world again", "hello big world", "a ZEBRA crossing", "彼は今日は天気がとても良いですと言った", "今日は雨です", "hello", "", None, "x one two three four five six seven", "world hello"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["coverage"] for r in decontaminate.matches(docs, benchmark).collect()}
+    assert found == {(0, "s"): 1.0, (2, "one"): 1.0, (3, "han"): 1.0, (8, "long"): 1.0}
+    best = {r["doc_id"]: (r["contaminated"], r["best_item"]) for r in decontaminate.contamination(docs, benchmark).collect()}
+    assert best == {0: (True, "s"), 2: (True, "one"), 3: (True, "han"), 8: (True, "long")}
+    assert sorted(r["doc_id"] for r in decontaminate.clean_only(docs, benchmark).collect()) == [1, 4, 5, 6, 7, 9]
+
+
+def test_settling_one_language_early_changes_no_set(monkeypatch):
+    """Texts of every mixture and length: the proven ones and those that run the selection agree with running it for all."""
+    rng = np.random.default_rng(8)
+    base = np.log(np.where(np.eye(4) > 0, 0.93, 0.07 / 3))
+    words, bounds = [], [0]
+    for _ in range(400):
+        n, main, other = int(rng.integers(0, 60)), *rng.choice(4, 2, replace=False)
+        share = rng.choice([0, 0.01, 0.05, 0.2, 0.5])
+        words += [base[other if rng.random() < share else main] + rng.normal(0, 0.7, 4) for _ in range(n)]
+        bounds.append(len(words))
+    likely, bounds = np.array(words), np.array(bounds)
+    got = langid.mixtures(likely, bounds)
+    settled = ~langid._may_have_more(np.exp(likely - likely.max(1, keepdims=True)), bounds, *langid._mixture(np.exp(likely - likely.max(1, keepdims=True)), bounds, np.ones((400, 4))), got.argmax(1))
+    monkeypatch.setattr(langid, "_may_have_more", lambda likely, bounds, *rest: np.ones(len(bounds) - 1, bool))
+    whole = langid.mixtures(likely, bounds)
+    full = np.diff(bounds) > 0
+    assert (got[full] == whole[full]).all() and settled[full].sum() > 50 and (~settled[full]).sum() > 50
+
+
+def test_encodings_that_keys_hide_in():
+    inner = bytes.fromhex("0201000482") + (256).to_bytes(2, "big") + bytes(i * 7 % 256 for i in range(256))
+    der = b"\x30\x82" + len(inner).to_bytes(2, "big") + inner
+    encoded = base64.b64encode(der).decode()
+    lines = "\n".join(encoded[i : i + 64] for i in range(0, len(encoded), 64))
+    found = lambda text: [(secrets.KINDS[k], text[a:b]) for a, k, b in secrets.confirmed_spans(text)]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    block = f"{begin}\n{lines}\n{end}"
+    account = json.dumps({"type": "service_account", "private_key": block + "\n", "id": 1})
+    assert found(account) == [("key", json.dumps(block)[1:-1])]
+    assert found(f"text\n{lines}\nmore words follow") == [("key", lines)]
+    assert found(f"a\n{lines}\n{'B' * 64}\nend") == [("key", lines)]  # the declared length ends the key
+    escaped = lines.replace("\n", "\\n")
+    assert found(f'{{"k": "{escaped}"}}') == [("key", escaped)]
+    assert found(f"{begin}\nComment: mine\n\n{lines}\n{end}")[0][0] == "key"
+    body = base64.b64encode(bytes(i * 11 % 256 for i in range(320))).decode()
+    sealed = f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AABB\n\n{{}}\n{end}"
+    assert found(sealed.format(body)) == [("key", sealed.format(body))] and found(sealed.format(body[:-7])) == []
+    mixed = "".join(c.upper() if i % 3 else c for i, c in enumerate(der.hex()))
+    assert found(f"<{mixed}>") == [("key", mixed)] and found(f"<{mixed[:-2]}>") == []
+    for head in (b'{"alg": "x"}', b'{ "alg": "x"}', b'{\n "alg": "x"}', b'{\t"alg": "x"}'):
+        token = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (head, b"{}", b"s" * 32))
+        assert found(f"({token})") == [("jwt", token)]
+    assert found(("QUJD" * 16 + "\n") * 5) == [] and found("A" * 5000) == [] and found(f"{begin}\n{end}") == []
+
+
 def test_secrets_are_confirmed_by_structure():
     der = bytes.fromhex("3026020100") + bytes([0x04, 33]) + bytes(range(33))
     encoded = base64.b64encode(der).decode()
