@@ -184,8 +184,9 @@ class FrequentTokens:
 def frequent_tokens(docs: DataFrame, frequent: int = FREQUENT) -> FrequentTokens:
     """Tokens held by more than ``frequent`` documents.
 
-    Every token of every document is counted. Each task sends the marks of a bucket packed into one value; a bucket is one
-    task's share, and their number grows with the corpus. Tokens with equal codes count together, which can only move a rare token to the
+    Every token of every document is counted. Each task adds up the tokens of a slice of its texts and sends a bucket's
+    marks packed into one value, those found more than once with their counts, so a token that every document holds is one
+    entry per slice. A bucket is one task's share, and their number grows with the corpus. Tokens with equal codes count together, which can only move a rare token to the
     other class, for all documents alike.
     """
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -199,26 +200,37 @@ def frequent_tokens(docs: DataFrame, frequent: int = FREQUENT) -> FrequentTokens
             if not len(every):
                 return None
             bucket, mark = _codes(every, buckets)
-            by = np.argsort(bucket, kind="stable")
-            bucket, mark = bucket[by], mark[by]
+            codes, times = np.unique((bucket << np.uint64(32)) | mark.astype(np.uint64), return_counts=True)
+            bucket, mark = codes >> np.uint64(32), (codes & np.uint64(0xFFFFFFFF)).astype("<u4")
             starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            again = times > 1
+            once_at, again_at = (np.cumsum(np.r_[0, x]) for x in (~again, again))
+            once, repeated = mark[~again], np.stack([mark[again], times[again].astype("<u4")], 1)
             ends = np.r_[starts[1:], len(bucket)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(bucket[starts].astype(np.int64)), pa.array([mark[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())],
-                ["bucket", "marks"],
+                [
+                    pa.array(bucket[starts].astype(np.int64)),
+                    pa.array([once[once_at[a] : once_at[b]].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                    pa.array([repeated[again_at[a] : again_at[b]].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                ],
+                ["bucket", "marks", "repeated"],
             )
 
         return work
 
-    packed = over_texts(docs, make, T.StructType.fromDDL("bucket long, marks binary"))
+    packed = over_texts(docs, make, T.StructType.fromDDL("bucket long, marks binary, repeated binary"))
 
     def count(batches):
-        held: dict[int, list] = {}
+        held: dict[int, tuple[list, list]] = {}
         for batch in batches:
-            for bucket, marks in zip(batch.column("bucket").to_pylist(), batch.column("marks")):
-                held.setdefault(bucket, []).append(np.frombuffer(marks.as_py(), "<u4"))
+            for bucket, marks, repeated in zip(batch.column("bucket").to_pylist(), batch.column("marks"), batch.column("repeated")):
+                mine = held.setdefault(bucket, ([], []))
+                mine[0].append(np.frombuffer(marks.as_py(), "<u4"))
+                mine[1].append(np.frombuffer(repeated.as_py(), "<u4").reshape(-1, 2))
         for bucket in list(held):
-            marks, times = np.unique(np.concatenate(held.pop(bucket)), return_counts=True)
+            once, repeated = map(np.concatenate, held.pop(bucket))
+            marks, place = np.unique(np.concatenate([once, repeated[:, 0]]), return_inverse=True)
+            times = np.bincount(place, np.concatenate([np.ones(len(once)), repeated[:, 1]])).astype(np.int64)
             often = times > frequent
             if often.any():
                 yield pa.RecordBatch.from_arrays(

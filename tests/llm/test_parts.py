@@ -112,6 +112,19 @@ def test_line_index_is_reversible(spark):
     assert state(index) == before and index.doomed(first).count() == 0
 
 
+def test_a_token_of_all_documents_is_counted_once_per_slice(spark):
+    """The class is exact, and what a bucket is sent does not grow with the documents that hold one token."""
+    shared = "these five words are everywhere"
+    texts = [f"{shared} {' '.join(f'w{i}x{j}' for j in range(5))}" + (" rare one two three four" if i % 150 == 0 else "") for i in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    found = jaccard_join.frequent_tokens(docs, 100)
+    every = jaccard_join.Tokens().of([f"{shared}", "rare one two three four", texts[7]])
+    assert found.has(every[0]).all() and not found.has(every[1]).any() and found.has(every[2]).sum() == 1
+    assert found.has(jaccard_join.Tokens().of(["rare one two three four"])[0]).sum() == 0
+    some = jaccard_join.frequent_tokens(docs, 19)
+    assert some.has(jaccard_join.Tokens().of(["rare one two three four"])[0]).all()
+
+
 @pytest.mark.parametrize("most", [line_dedup.FILTER_BYTES, 0])
 def test_filters_of_any_size_answer_alike(spark, monkeypatch, most):
     """Beyond the size that is sent, keys stream past their shard's filter; a line in a third of all documents is one key."""
