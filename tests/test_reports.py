@@ -206,7 +206,7 @@ def test_plans_prune_and_limit(spark, tmp_path):
     plan = R.stock_status(stored, "ME", TODAY)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(buybox_seller_key,me)" in plan
     o = offers(spark, (0, "P1", "me", 1.0))
-    plan = portfolio_health(stored, o, "me", TODAY)._jdf.queryExecution().executedPlan().toString()
+    plan = portfolio_health(stored, o, "me", TODAY, list_cap=20)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
