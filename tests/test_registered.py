@@ -3,6 +3,8 @@
 import os
 import pathlib
 import re
+import subprocess
+import sys
 
 import pytest
 
@@ -38,6 +40,13 @@ def test_sql_belongs_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_other_queries_load_without_what_the_training_data_package_needs():
+    code = "import sys; sys.modules['shelfscope.llm'] = None; import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') for n in e.queries()), set(e.oracle_sql()) <= set(e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
+    number, with_operators, complete = out.stdout.split()
+    assert int(number) >= 100 and with_operators == "False" and complete == "True" and "left out" in out.stderr
+
+
 def test_no_driver_side_work_in_the_library():
     banned = re.compile(r"\.toPandas\(|localCheckpoint|crossJoin|\.rdd\b|\bF\.broadcast\(|\.toLocalIterator\(")
     for path in (ROOT / "shelfscope").rglob("*.py"):
