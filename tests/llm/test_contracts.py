@@ -247,9 +247,11 @@ def test_pipeline_stage_by_stage(spark):
             assert out.columns == docs.columns
         if name == "toxicity":
             truth = {r["doc_id"]: r["toxic"] for r in table(spark, PIPE_DIR, "labels").collect()}
-            # Some labels of this table mark documents without any toxic word, so not all of them can go.
-            clean, toxic = ([d in after for d in before if truth.get(d) == label] for label in (0, 1))
-            assert sum(clean) >= 0.97 * len(clean) and sum(toxic) <= 0.3 * len(toxic)
+            # 18 of the 51 toxic labels of this table mark documents without any toxic word; only learning those by heart rejects them.
+            clean, toxic = ([d for d in before if truth.get(d) == label] for label in (0, 1))
+            plainly = {d for d, t in texts.items() if PLAINLY & set(re.findall(r"\w+", (t or "").lower()))}
+            assert len(plainly & set(toxic)) == 33 and not plainly & set(after)
+            assert sum(d in after for d in clean) >= 0.99 * len(clean)
         elif name == "line dedup":
             assert {d: r["text"] for d, r in after.items()} == {d: t for d, (_, _, t) in brute_lines(texts).items()}
         elif name == "n-gram Jaccard join":
