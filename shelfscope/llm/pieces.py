@@ -214,6 +214,8 @@ class WordEncoder:
         return [self.vocabulary.byte_ids[b] for b in character.encode("utf-8", "surrogatepass")]
 
 
+# Distinct words whose ids a task keeps: idle workers hold them too, beside what the next stage of a pipeline needs.
+KEPT_IDS = 300_000
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _WORD_OR_BREAK = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
@@ -254,7 +256,7 @@ class _Ids(WordTable):
     """Word numbers with the ids of each word in one flat array."""
 
     def __init__(self, encoder: WordEncoder):
-        super().__init__(self._spans)
+        super().__init__(self._spans, KEPT_IDS)
         self.encoder = encoder
 
     def _spans(self, words: list[str]) -> np.ndarray:
