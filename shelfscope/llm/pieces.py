@@ -215,7 +215,7 @@ class WordEncoder:
 
 
 # Distinct words whose ids a task keeps: idle workers hold them too, beside what the next stage of a pipeline needs.
-KEPT_IDS = 300_000
+KEPT_IDS = 400_000
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _WORD_OR_BREAK = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
