@@ -71,14 +71,14 @@ def pieces(batch: pa.RecordBatch, column: str = "text", size: int = PIECE_BYTES)
 
 
 def over_texts(
-    docs: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list], pa.RecordBatch | None]], schema: T.StructType, *columns: str
+    docs: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list], pa.RecordBatch | None]], schema: T.StructType, *columns: str, size: int = PIECE_BYTES
 ) -> DataFrame:
-    """Rows made from pieces of (columns, text); ``make`` runs once a task and returns the work on a piece."""
+    """Rows made from pieces of (columns, text); ``make`` runs once a task and returns the work on a piece of ``size`` bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part, texts in pieces(batch):
+            for part, texts in pieces(batch, size=size):
                 out = work(part, texts)
                 if out is not None:
                     yield out

@@ -30,6 +30,7 @@ from shelfscope.llm.common import WordTable, batch_of, out_schema, over_texts, s
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 WORDS_AT_ONCE = 40_000  # distinct words whose suffixes are sorted together
+SLICE_BYTES = 1 << 20  # text encoded at a time: its words are held as strings
 KEPT_PAIRS = 2_000_000  # pairs of neighbours whose answer a task keeps
 
 
@@ -332,7 +333,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
         work = encoder()
         return lambda part, texts: batch_of(part.column("doc_id"), ids=work(texts))
 
-    return over_texts(docs, make, out_schema(docs, "ids array<int>"))
+    return over_texts(docs, make, out_schema(docs, "ids array<int>"), size=SLICE_BYTES)
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -366,4 +367,4 @@ def round_trip(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
         return work
 
-    return over_texts(docs, make, out_schema(docs, "ids array<int>, same_text boolean"))
+    return over_texts(docs, make, out_schema(docs, "ids array<int>, same_text boolean"), size=SLICE_BYTES)

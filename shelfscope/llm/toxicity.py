@@ -39,6 +39,8 @@ THRESHOLD = 0.7
 SPAN_MARGINAL = 0.5
 BLOCK = 64
 LEARN_TOKENS = 100_000  # tokens whose marginals are held at a time while learning; one longer text is a part by itself
+SLICE_BYTES = 1 << 20  # text scored at a time: some tens of numbers are held for each of its tokens
+KEPT_WORDS = 300_000  # distinct words whose scores a Python worker keeps, also while it is idle
 _WORD = re.compile(r"\w+")
 
 
@@ -74,9 +76,23 @@ def marginals(toxic: np.ndarray, bounds: np.ndarray, links: np.ndarray) -> tuple
     into blocks; within a block the products of step matrices are built for all blocks at once, and a short second
     pass carries the state across the blocks of a text.
     """
-    n = len(toxic)
-    if not n:
+    if not len(toxic):
         return np.zeros(0), np.zeros((2, 2))
+    p, first, step, before, after = _both_ways(toxic, bounds, links)
+    inner = np.flatnonzero(~first)
+    joint = np.stack([x[inner - 1] * step[i, j] * y[inner] for i, x in enumerate(before) for j, y in enumerate(after)])
+    pairs = (joint / np.maximum(joint.sum(0), 1e-300)).sum(1).reshape(2, 2)
+    return p, pairs
+
+
+def token_marginals(toxic: np.ndarray, bounds: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """The first result of ``marginals``: scoring needs no pairs of tokens."""
+    return _both_ways(toxic, bounds, links)[0] if len(toxic) else np.zeros(0)
+
+
+def _both_ways(toxic: np.ndarray, bounds: np.ndarray, links: np.ndarray) -> tuple:
+    """P(label toxic) per token, which tokens are first in a text, the step matrix, forward and backward messages."""
+    n = len(toxic)
     full = bounds[1:] > bounds[:-1]
     first, last = np.zeros(n, bool), np.zeros(n, bool)
     first[bounds[:-1][full]] = True
@@ -87,11 +103,7 @@ def marginals(toxic: np.ndarray, bounds: np.ndarray, links: np.ndarray) -> tuple
     # The backward pass is the forward pass of the reversed chain; both hold the token's own score, so one is taken out.
     b0, b1 = (x[::-1] for x in _messages(lift[::-1], last[::-1], step.T))
     plain, marked = a0 * b0, a1 * b1 / lift
-    p = marked / np.maximum(plain + marked, 1e-300)
-    inner = np.flatnonzero(~first)
-    joint = np.stack([x[inner - 1] * step[i, j] * y[inner] for i, x in enumerate((a0, a1)) for j, y in enumerate((b0, b1))])
-    pairs = (joint / np.maximum(joint.sum(0), 1e-300)).sum(1).reshape(2, 2)
-    return p, pairs
+    return marked / np.maximum(plain + marked, 1e-300), first, step, (a0, a1), (b0, b1)
 
 
 def _messages(lift: np.ndarray, first: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -348,11 +360,11 @@ def tag(docs: DataFrame, model: ToxicModel) -> DataFrame:
 
     def make():
         one: ToxicModel = sent.value
-        known = worker_table(name, lambda: WordTable(one.of_words))
+        known = worker_table(name, lambda: WordTable(one.of_words, KEPT_WORDS))
 
         def work(part: pa.RecordBatch, texts: list) -> pa.RecordBatch:
             words, bounds = split_all(texts, words_of)
-            p, _ = marginals(one.emissions(known.rows(words), bounds), bounds, one.links)
+            p = token_marginals(one.emissions(known.rows(words), bounds), bounds, one.links)
             spans: list[list] = [[] for _ in texts]
             hot = np.flatnonzero(p > SPAN_MARGINAL)
             for i in np.unique(np.searchsorted(bounds, hot, "right") - 1).tolist():
@@ -366,7 +378,7 @@ def tag(docs: DataFrame, model: ToxicModel) -> DataFrame:
 
         return work
 
-    return over_texts(docs, make, out_schema(docs, "score double, toxic_spans array<struct<start:int,end:int>>"))
+    return over_texts(docs, make, out_schema(docs, "score double, toxic_spans array<struct<start:int,end:int>>"), size=SLICE_BYTES)
 
 
 def clean_only(docs: DataFrame, model: ToxicModel) -> DataFrame:
@@ -376,11 +388,11 @@ def clean_only(docs: DataFrame, model: ToxicModel) -> DataFrame:
 
     def run(batches):
         one: ToxicModel = sent.value
-        known = worker_table(name, lambda: WordTable(one.of_words))
+        known = worker_table(name, lambda: WordTable(one.of_words, KEPT_WORDS))
         for batch in batches:
-            for part, texts in pieces(batch):
+            for part, texts in pieces(batch, size=SLICE_BYTES):
                 words, bounds = split_all(texts, words_of)
-                p, _ = marginals(one.emissions(known.rows(words), bounds), bounds, one.links)
+                p = token_marginals(one.emissions(known.rows(words), bounds), bounds, one.links)
                 yield part.filter(pa.array(one.scores(p, bounds) < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)

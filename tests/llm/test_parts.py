@@ -5,8 +5,10 @@ import io
 import itertools
 import json
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -38,6 +40,41 @@ def test_marginals_do_not_depend_on_neighbours_or_blocks():
     assert np.allclose(together, np.concatenate(apart))
 
 
+def test_scoring_needs_the_tokens_only():
+    rng = np.random.default_rng(4)
+    score, bounds, links = rng.normal(size=300), np.array([0, 0, 70, 300]), rng.normal(size=(2, 2))
+    assert (toxicity.token_marginals(score, bounds, links) == toxicity.marginals(score, bounds, links)[0]).all()
+    assert len(toxicity.token_marginals(np.zeros(0), np.array([0]), links)) == 0
+
+
+@pytest.mark.parametrize("stage", ["clean", "encode"])
+def test_a_large_batch_is_worked_in_small_slices(spark, monkeypatch, stage):
+    docs, ran = spark.createDataFrame([(1, "a")], "doc_id long, text string"), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: ran.append(run))
+    weights = np.zeros((3, toxicity.BUCKETS))
+    if stage == "clean":
+        toxicity.clean_only(docs, toxicity.ToxicModel(*weights, np.zeros((2, 2)), 0.0, (-50.0, 0.0, 0.0)))
+    else:
+        pieces.encode(docs)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(2000)]
+    texts = [" ".join(rng.choices(words, k=1000)) for _ in range(600)]
+
+    def batch(texts: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+
+    large, (run,) = batch(texts), ran
+    list(run(iter([batch(texts[:1])])))  # the tables of a model are made before
+    tracemalloc.start()
+    try:
+        n = sum(out.num_rows for out in run(iter([large])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == len(texts)
+    assert peak < 60 << 20, f"{peak >> 20} MB for {large.nbytes >> 20} MB of text"
+
+
 def test_encoder_equals_the_library():
     data = open(pieces.MODEL, "rb").read()
     library, vocabulary = sentencepiece.SentencePieceProcessor(model_proto=data), pieces.PieceVocabulary.read(data)
